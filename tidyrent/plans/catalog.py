@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixtures import listings_raw
+from ..session import cut_lineage
 from . import format as fmt
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,13 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmt.normalise_prices(formatted(spark, sf_dir))
 
 
+def typed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T materialised once (reliable checkpoint in the session's checkpoint
+    folder) for queries that read it in several passes — the stage boundary the
+    source pipeline marks with a file hand-off."""
+    return cut_lineage(typed(spark, sf_dir))
+
+
 def _load_all() -> None:
     # query modules register themselves on import
     from . import queries_format  # noqa: F401

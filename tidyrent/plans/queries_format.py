@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import oracle as O
-from .catalog import formatted, register, typed
+from .catalog import formatted, register, typed, typed_stage
 
 
 @register("format_listings", O.with_tables("SELECT * FROM F", upto="F"))
@@ -24,4 +24,4 @@ FROM T GROUP BY distrito"""))
 def q_district_median_price_m2(spark, sf_dir):
     """Minimum slice: F4–F6, F8, F10, F12 → F18 → A1 (exact median per district)."""
     from ..operators.stats import district_median_price_m2
-    return district_median_price_m2(typed(spark, sf_dir))
+    return district_median_price_m2(typed_stage(spark, sf_dir))
