@@ -118,8 +118,11 @@ def parse_coordinate_pair(lat: Column, lon: Column) -> tuple[Column, Column]:
 
 
 def combo_key(a: Column, b: Column) -> Column:
-    """``"{a},{b}"`` from doubles, so 3 and 1 give ``"3.0,1.0"``."""
-    return F.concat_ws(",", a.cast("double").cast("string"), b.cast("double").cast("string"))
+    """``"{a},{b}"`` from doubles, so 3 and 1 give ``"3.0,1.0"``; a missing
+    value prints as ``nan`` (as the float formatting of the source does)."""
+    def fmt(c: Column) -> Column:
+        return F.coalesce(c.cast("double").cast("string"), F.lit("nan"))
+    return F.concat(fmt(a), F.lit(","), fmt(b))
 
 
 def decimal_point_repair(c: Column, position: int) -> Column:
