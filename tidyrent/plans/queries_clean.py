@@ -93,7 +93,7 @@ def reject_extremes(df):
 @register("extreme_rejects", O.with_tables(", D AS (SELECT *, precio / area AS precioxm2 FROM T)\nSELECT * FROM D WHERE "
                                            + " AND ".join(f"NOT coalesce({r}, false)" for r in REJECT_RULES)))
 def q_extreme_rejects(spark, sf_dir):
-    return reject_extremes(S.with_price_m2(typed(spark, sf_dir)))
+    return reject_extremes(S.with_price_m2(typed_stage(spark, sf_dir)))
 
 
 @register("rare_combos", O.with_tables(""", K AS (SELECT row_id, dormitorios, banos,
@@ -146,7 +146,7 @@ SELECT fold, count(*) AS n FROM (SELECT ntile(10) OVER (ORDER BY row_id) AS fold
 GROUP BY fold"""))
 def q_kfold_sizes(spark, sf_dir):
     """Ten contiguous folds of the rows with a known area."""
-    known = typed(spark, sf_dir).where(F.col("area").isNotNull()).select("row_id")
+    known = typed_stage(spark, sf_dir).where(F.col("area").isNotNull()).select("row_id")
     return contiguous_folds(known, 10).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -160,7 +160,7 @@ SELECT {_round_dec('avg(mape)', 10)} AS mape_trimmed, (SELECT count(*) FROM M) A
 FROM (SELECT mape, row_number() OVER (ORDER BY mape) AS rn, count(*) OVER () AS c FROM M) WHERE rn > 1 AND rn < c"""))
 def q_mean_baseline_mape(spark, sf_dir):
     """A13 + A14: K-fold MAPE of the training-mean baseline, trimmed mean."""
-    return I.mean_baseline_mape(typed(spark, sf_dir))
+    return I.mean_baseline_mape(typed_stage(spark, sf_dir))
 
 
 _SCALE_SQL = ", ".join(
@@ -173,7 +173,7 @@ _SCALE_SQL = ", ".join(
     + _SCALE_SQL + " FROM D CROSS JOIN B"))
 def q_minmax_scale(spark, sf_dir):
     """Min-max scaling of the six near-duplicate features (constant → 0)."""
-    d = typed(spark, sf_dir).dropna(subset=SIX).select("row_id", *SIX)
+    d = typed_stage(spark, sf_dir).dropna(subset=SIX).select("row_id", *SIX)
     return S.minmax_scale(d, SIX).select("row_id", *[f"{c}_s" for c in SIX])
 
 
@@ -181,7 +181,7 @@ def q_minmax_scale(spark, sf_dir):
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM T" for c in T_COLS)))
 def q_null_profile(spark, sf_dir):
     """A8 + Q8: nulls per column, one pass."""
-    return S.null_counts(typed(spark, sf_dir), T_COLS)
+    return S.null_counts(typed_stage(spark, sf_dir), T_COLS)
 
 
 @register("sample_fixed", O.with_tables(", " + CANDIDATES_SQL + "\nSELECT row_id FROM SP"))
@@ -206,3 +206,11 @@ def q_price_m2_formula(spark, sf_dir):
     f = formatted(spark, sf_dir).select("row_id", "moneda")
     t = typed(spark, sf_dir).select("row_id", N.price_per_m2(F.col("precio"), F.col("area")).alias("precioxm2"))
     return t.join(f, "row_id")
+
+
+@register("clean_pipeline")
+def q_clean_pipeline(spark, sf_dir):
+    """The whole job (stage 1 → 2 → 3) on the raw listings: the cleaned table."""
+    from .catalog import raw
+    from .pipeline import run
+    return run(raw(spark, sf_dir))["cleaned"]

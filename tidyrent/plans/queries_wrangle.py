@@ -84,14 +84,14 @@ def _tolerance_sql(c: str, tol: float) -> str:
 @register("dedupe_keep_first", O.with_tables(_keep_first_sql("T", W1_KEYS)))
 def q_dedupe_keep_first(spark, sf_dir):
     """Keep-first on eight columns (nulls equal)."""
-    return D.keep_first(typed(spark, sf_dir), W1_KEYS)
+    return D.keep_first(typed_stage(spark, sf_dir), W1_KEYS)
 
 
 @register("dedupe_two_pass", O.with_tables(
     ", W2 AS (" + _keep_first_sql("T", W2_KEYS) + ")\n" + _keep_first_sql("W2", W3_KEYS)))
 def q_dedupe_two_pass(spark, sf_dir):
     """W2 then W3 (order matters)."""
-    return D.keep_first(D.keep_first(typed(spark, sf_dir), W2_KEYS), W3_KEYS)
+    return D.keep_first(D.keep_first(typed_stage(spark, sf_dir), W2_KEYS), W3_KEYS)
 
 
 @register("duplicate_descriptions", O.with_tables("""
@@ -108,13 +108,13 @@ def q_duplicate_descriptions(spark, sf_dir):
     "SELECT * FROM T WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL)))
 def q_critical_null_drop(spark, sf_dir):
     """Rows with every critical column present."""
-    return typed(spark, sf_dir).dropna(subset=CRITICAL)
+    return typed_stage(spark, sf_dir).dropna(subset=CRITICAL)
 
 
 @register("anomaly_flags", O.with_tables("SELECT row_id, variable FROM (" + FLAGS_SQL + ")"))
 def q_anomaly_flags(spark, sf_dir):
     """P5 + U1: one (row_id, variable) per broken rule, bag semantics."""
-    return W.anomaly_flags(typed(spark, sf_dir)).select("row_id", "variable")
+    return W.anomaly_flags(typed_stage(spark, sf_dir)).select("row_id", "variable")
 
 
 _RESOLVE_SQL = O.with_tables(f""", FL AS ({FLAGS_SQL}), V AS ({VERDICTS_SQL}),
