@@ -20,6 +20,9 @@ from pyspark.sql.types import MapType, StringType
 from ..functions.text import decimal_point_repair
 from ..session import ensure_checkpoint_dir
 
+_MAP = MapType(StringType(), StringType())
+_ARRAY = "array<map<string,string>>"
+
 
 def _require(path: str, what: str = "path") -> str:
     if not path or not str(path).strip():
@@ -59,7 +62,9 @@ def first_files(spark: SparkSession, folder: str, max_files: int | None, suffix:
 # ------------------------------------------------------------------ S3, S4
 def read_json_records(spark: SparkSession, folder: str | list[str], shape: str = "document",
                       glob: str = "*.json") -> DataFrame:
-    """S3: one row per JSON record: ``(row_id, source_file, rec)``.
+    """S3: one row per JSON record: ``(row_id, source_file, rec)``; ``rec`` is
+    a ``map<string,string>`` (scalar values as their JSON text, a key with a
+    null value kept with a null entry).
 
     ``shape="document"``: each file is one JSON document — an array extends
     the record list, an object is one record, anything else is skipped (and
@@ -71,11 +76,12 @@ def read_json_records(spark: SparkSession, folder: str | list[str], shape: str =
     if not paths:
         return spark.createDataFrame([], "row_id bigint, source_file string, rec string")
     if shape == "document":
-        raw = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", glob).text(paths)
+        # text()'s own wholetext argument (default False) overrides a reader option
+        raw = (spark.read.option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", glob).text(paths, wholetext=True)
                .select(F.col("_metadata.file_path").alias("source_file"), F.trim("value").alias("doc")))
-        recs = F.when(F.col("doc").startswith("["), F.from_json("doc", "array<string>")).when(
-            F.col("doc").startswith("{"), F.array(F.col("doc")))
+        recs = F.when(F.col("doc").startswith("["), F.from_json("doc", _ARRAY)).when(
+            F.col("doc").startswith("{"), F.array(F.from_json("doc", _MAP)))
         out = raw.select("source_file", F.posexplode(recs).alias("pos", "rec"))
     elif shape == "lines":
         raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(paths)
@@ -83,12 +89,16 @@ def read_json_records(spark: SparkSession, folder: str | list[str], shape: str =
                        # text files expose no line number; a split-local id is stable
                        # for a given file layout and split size
                        F.monotonically_increasing_id().alias("pos"), F.trim("value").alias("rec")))
-        out = raw.where(F.col("rec").startswith("{"))
+        out = raw.where(F.col("rec").startswith("{")).withColumn("rec", F.from_json("rec", _MAP))
     else:
         raise ValueError("shape must be 'document' or 'lines'")
     return out.select(F.xxhash64("source_file", "pos").alias("row_id"), "source_file", "rec")
 
 
+def _as_map(c: F.Column, dtype) -> F.Column:
+    return F.from_json(c, _MAP) if isinstance(dtype, StringType) else c
+
+
 def common_keys(records: DataFrame, rec: str = "rec") -> list[str]:
     """Keys present in every record (a key with a null value counts as
     present). A grouped count of (key) over de-duplicated per-record key lists;
@@ -96,7 +106,8 @@ def common_keys(records: DataFrame, rec: str = "rec") -> list[str]:
     n = records.count()
     if n == 0:
         return []
-    keys = records.select(F.explode(F.array_distinct(F.json_object_keys(F.col(rec)))).alias("k"))
+    m = _as_map(F.col(rec), records.schema[rec].dataType)
+    keys = records.select(F.explode(F.map_keys(m)).alias("k"))  # map keys are unique per record
     common = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n)
     return sorted(r.k for r in common.collect())
 
@@ -105,7 +116,7 @@ def records_to_columns(records: DataFrame, keys: list[str] | None = None, rec: s
                        keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
     """Project the common keys as string columns (values as raw JSON text)."""
     keys = common_keys(records, rec) if keys is None else keys
-    m = F.from_json(F.col(rec), MapType(StringType(), StringType()))
+    m = _as_map(F.col(rec), records.schema[rec].dataType)
     return records.select(*keep, *[m.getItem(k).alias(k) for k in keys])
 
 
@@ -131,7 +142,7 @@ def read_by_extension(spark: SparkSession, path: str, **csv_opts) -> DataFrame:
     if ext == "json":
         return read_json_records(spark, path)
     if ext == "txt":
-        return spark.read.option("wholetext", "true").text(path)
+        return spark.read.text(path, wholetext=True)
     if ext == "csv":
         return read_csv(spark, path, **csv_opts)
     return spark.read.format("binaryFile").load(path)
