@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixtures import listings_raw
-from ..session import cut_lineage
+from ..session import stage
 from . import format as fmt
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,9 @@ def register(name: str, oracle: str | None = None):
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L: raw listings."""
-    return listings_raw(spark, sf_dir)
+    """L: raw listings, materialised as the job's input (it stands for the raw
+    files a real run reads), spread over the cluster by ``row_id``."""
+    return stage(listings_raw(spark, sf_dir))
 
 
 def formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def typed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T materialised once (reliable checkpoint in the session's checkpoint
     folder) for queries that read it in several passes — the stage boundary the
     source pipeline marks with a file hand-off."""
-    return cut_lineage(typed(spark, sf_dir))
+    return stage(typed(spark, sf_dir))
 
 
 def _load_all() -> None:

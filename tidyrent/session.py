@@ -60,6 +60,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_partitions(spark: SparkSession) -> int:
+    """Partition count for a stage table: the cluster's parallelism or the
+    configured shuffle width, whichever is larger (sized by the operator for
+    the data volume on a real cluster)."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(spark.sparkContext.defaultParallelism, shuffle)
+
+
+def stage(df: DataFrame, key: str | None = "row_id") -> DataFrame:
+    """Materialise a stage table: hash-partitioned on ``key`` (joins on it later
+    reuse the partitioning — a checkpoint keeps its output partitioning) and
+    cut from its lineage with a reliable checkpoint. Spreads under-partitioned
+    inputs (one file, one row group) over the cluster."""
+    n = stage_partitions(df.sparkSession)
+    parts = df.repartition(n, key) if key and key in df.columns else df.repartition(n)
+    return cut_lineage(parts)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
