@@ -35,11 +35,6 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, n_null)")
 
 
-def share_dropped(before: DataFrame, after: DataFrame) -> Column:
-    """A9 helper (driver-side scalars are computed by the caller)."""
-    return F.lit(1.0) - F.lit(after.count()) / F.lit(before.count())
-
-
 def tolerance_rule(real: Column, guess: Column, tol: float) -> Column:
     """A15 rule: proportional for 0<t<1, absolute for t>=1 or t==0."""
     diff = F.abs(real - guess)
@@ -60,17 +55,18 @@ def match_rate(real: Column, guess: Column, tol: float) -> tuple[Column, Column]
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "_s") -> DataFrame:
-    """Min-max scaling; a constant column scales to 0. One global
-    aggregate (a single row) is cross-joined, a join whose right side is one row."""
-    bounds = df.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(bounds))
-    out = j.withColumns({
-        f"{c}{suffix}": F.coalesce(
-            F.try_divide(F.col(c) - F.col(f"_mn_{c}"), F.col(f"_mx_{c}") - F.col(f"_mn_{c}")),
-            F.when(F.col(c).isNotNull(), F.lit(0.0)))
-        for c in cols
-    })
-    return out.drop(*[f"_mn_{c}" for c in cols], *[f"_mx_{c}" for c in cols])
+    """Min-max scaling; a constant column scales to 0. The bounds are one
+    global aggregate (2 numbers per column) brought to the driver and applied
+    as literals."""
+    b = df.agg(*[F.min(c).alias(f"mn_{c}") for c in cols], *[F.max(c).alias(f"mx_{c}") for c in cols]).first()
+
+    def scaled(c: str) -> Column:
+        mn, mx = b[f"mn_{c}"], b[f"mx_{c}"]
+        if mn is None or mx is None or mx == mn:
+            return F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return (F.col(c) - F.lit(float(mn))) / F.lit(float(mx) - float(mn))
+
+    return df.withColumns({f"{c}{suffix}": scaled(c) for c in cols})
 
 
 def low_price_fix(df: DataFrame, key: str = "distrito", factor: float = 2.1, rate: float = N.USD_RATE,
@@ -102,10 +98,13 @@ def price_ratios(df: DataFrame, key: str = "distrito", factor: float = 2.1) -> D
 
 def global_ratio(ratios: DataFrame, col: str = "ratio") -> DataFrame:
     """A3 + Q5: (mean + median) / 2 of the per-district ratios (one row)."""
-    mean = ratios.agg(F.avg(col).alias("mean_ratio"), F.count(col).alias("n_districts"))
-    med = exact_quantiles(ratios, [], col, [0.5], ["median_ratio"])
-    out = mean.crossJoin(med)
-    return out.withColumn("global_ratio", (F.col("mean_ratio") + F.col("median_ratio")) / 2)
+    mean = ratios.agg(F.avg(col).alias("mean_ratio"), F.count(col).alias("n_districts")).first()
+    med = exact_quantiles(ratios, [], col, [0.5], ["median_ratio"]).first()
+    median = med["median_ratio"] if med is not None else None
+    spark = ratios.sparkSession
+    g = None if mean["mean_ratio"] is None or median is None else (mean["mean_ratio"] + median) / 2
+    return spark.createDataFrame([(mean["mean_ratio"], median, int(mean["n_districts"]), g)],
+                                 "mean_ratio double, median_ratio double, n_districts bigint, global_ratio double")
 
 
 def iqr_fence(df: DataFrame, key: str = "distrito", value: str = "precioxm2", k: float = 2.5) -> DataFrame:
