@@ -41,6 +41,10 @@ def test_json_folder_shapes_and_key_intersection(spark, folder):
     assert out.select("row_id").distinct().count() == 3
 
 
+def test_skipped_documents_counted(spark, folder):
+    assert SRC.skipped_documents(spark, folder) == 1  # the file holding a bare number
+
+
 def test_first_n_files(spark, folder):
     listed = SRC.list_files(spark, folder).count()
     assert listed == 4

@@ -99,6 +99,19 @@ def _as_map(c: F.Column, dtype) -> F.Column:
     return F.from_json(c, _MAP) if isinstance(dtype, StringType) else c
 
 
+def skipped_documents(spark: SparkSession, folder: str | list[str], glob: str = "*.json") -> int:
+    """Q7: files whose document is neither a JSON array nor an object (or does
+    not parse) — skipped by the reader, counted here."""
+    paths = folder if isinstance(folder, list) else [_require(folder, "folder")]
+    if not paths:
+        return 0
+    docs = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+            .text(paths, wholetext=True).select(F.trim("value").alias("doc")))
+    parsed = F.when(F.col("doc").startswith("["), F.from_json("doc", _ARRAY).isNotNull()).when(
+        F.col("doc").startswith("{"), F.from_json("doc", _MAP).isNotNull()).otherwise(F.lit(False))
+    return docs.where(~parsed).count()
+
+
 def common_keys(records: DataFrame, rec: str = "rec") -> list[str]:
     """Keys present in every record (a key with a null value counts as
     present). A grouped count of (key) over de-duplicated per-record key lists;
