@@ -148,3 +148,17 @@ def test_order_and_partitioning_do_not_change_noise(spark, listings):
 def test_brute_force_helper_sanity():
     pdf = pd.DataFrame({"latitud": [0.0, 0.0, 0.0, 0.0, 0.0, 50.0], "longitud": [0, 0, 0, 0, 0, 50.0]})
     assert brute_noise(pdf, 0.01, 5, False) == {(50.0, 50.0)}
+
+
+def test_connected_components_long_chain(spark):
+    # a 400-node path (diameter 399), a star and a pair, nodes numbered out of order
+    perm = np.random.default_rng(1).permutation(400) + 1000
+    path = [(int(perm[i]), int(perm[i + 1])) for i in range(399)]
+    star = [(5, j) for j in range(6, 30)]
+    pair = [(100, 99)]
+    edges = spark.createDataFrame(path + star + pair, "a long, b long")
+    got = {r.node: r.label for r in C.connected_components(edges).collect()}
+    assert {got[int(p)] for p in perm} == {int(perm.min())}
+    assert {got[j] for j in range(5, 30)} == {5}
+    assert got[100] == got[99] == 99
+    assert len(got) == 400 + 25 + 2

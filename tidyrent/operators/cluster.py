@@ -8,9 +8,12 @@ cluster members take the cluster mean, then two keep-first passes.
   join keys; the other features get cells of side ``2·eps``, where a point's
   neighbours lie in its own cell or the one next to it on its nearer side — 2
   probes per feature, then an exact Euclidean filter;
-* clusters are connected components of core points, found by min-label
-  propagation with DataFrame joins; each round's labels are checkpointed
-  (reliable checkpoint) so lineage stays short and executor loss is survivable;
+* clusters are connected components of core points, found with the alternating
+  large-star / small-star edge rewrites (Kiveris et al., "Connected Components
+  in MapReduce and Beyond", 2014): O(log n) rounds of joins and grouped
+  minimums instead of one round per hop of the longest chain; each round's
+  edges are checkpointed (reliable checkpoint) so lineage stays short and
+  executor loss is survivable;
 * a border point joins the smallest neighbouring cluster; the cluster id is the
   smallest ``row_id`` in it.
 """
@@ -34,6 +37,47 @@ SECOND_KEYS = ["area", "dormitorios", "banos", "descripcion"]
 # --- end of fixed values ---
 
 
+def _canon(edges: DataFrame) -> DataFrame:
+    """Undirected edge set as (a > b) pairs without self loops or repeats."""
+    return (edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+            .where(F.col("a") != F.col("b")).distinct())
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each node's larger neighbours are re-attached to the node's smallest
+    neighbour-or-self."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    m = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return _canon(both.join(m, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b")))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node and its smaller neighbours are attached to the smallest of them."""
+    m = edges.groupBy("a").agg(F.min("b").alias("m"))
+    out = edges.join(m, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+        m.select("a", F.col("m").alias("b")))
+    return _canon(out)
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """``(node, label)`` for every node that has an edge; label = smallest node
+    of its component. ``edges``: columns ``a``, ``b`` (undirected)."""
+    cur = cut_lineage(_canon(edges))
+    for _ in range(max_rounds):
+        cur = cut_lineage(_small_star(_large_star(cur)))
+        # converged once the edges form stars: each node (a) has one edge, to a
+        # center (b) that is never itself a leaf — then both rewrites are no-ops
+        multi = cur.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("a")
+        chained = cur.join(cur.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
+        if multi.unionByName(chained).isEmpty():
+            break
+    # converged: stars around each component's minimum
+    both = cur.select(F.col("a").alias("node"), F.col("b").alias("n")).unionByName(
+        cur.select(F.col("b").alias("node"), F.col("a").alias("n")))
+    return both.groupBy("node").agg(F.least(F.col("node"), F.min("n")).alias("label"))
+
+
 def _split_dims(df: DataFrame, cols: Sequence[str], eps: float) -> tuple[list[str], list[str]]:
     stats = df.agg(*[F.min(c).alias(f"mn_{c}") for c in cols], *[F.max(c).alias(f"mx_{c}") for c in cols],
                    *[F.count_if(F.col(c) != F.floor(F.col(c))).alias(f"nf_{c}") for c in cols]).first()
@@ -48,7 +92,7 @@ def _split_dims(df: DataFrame, cols: Sequence[str], eps: float) -> tuple[list[st
 
 
 def cluster_labels(df: DataFrame, cols: Sequence[str] = FEATURES, eps: float = EPS,
-                   min_samples: int = MIN_SAMPLES, id_col: str = "row_id", max_rounds: int = 200) -> DataFrame:
+                   min_samples: int = MIN_SAMPLES, id_col: str = "row_id") -> DataFrame:
     """``(row_id, cluster)`` for rows with every feature present; -1 = noise."""
     cols = list(cols)
     d = df.dropna(subset=cols).select(id_col, *cols)
@@ -72,16 +116,10 @@ def cluster_labels(df: DataFrame, cols: Sequence[str] = FEATURES, eps: float = E
     core = edges.groupBy("pid").agg(F.sum("w").alias("n")).where(F.col("n") >= min_samples).select("pid")
     core_edges = (edges.join(core, "pid", "left_semi")
                   .join(core.withColumnRenamed("pid", "qid"), "qid", "left_semi").select("pid", "qid"))
-    labels = cut_lineage(core.withColumn("label", F.col("pid")))
-    for _ in range(max_rounds):
-        nxt = (core_edges.join(labels.withColumnRenamed("pid", "qid"), "qid")
-               .groupBy("pid").agg(F.min("label").alias("nl"))
-               .join(labels, "pid").select("pid", F.least("label", "nl").alias("label")))
-        nxt = cut_lineage(nxt)
-        changed = nxt.join(labels.withColumnRenamed("label", "old"), "pid").where(F.col("label") != F.col("old"))
-        labels = nxt
-        if changed.isEmpty():
-            break
+    comp = connected_components(core_edges.where(F.col("pid") != F.col("qid"))
+                                .select(F.col("pid").alias("a"), F.col("qid").alias("b")))
+    labels = cut_lineage(core.join(comp.withColumnRenamed("node", "pid"), "pid", "left")
+                         .select("pid", F.coalesce("label", "pid").alias("label")))
     border = (edges.join(core, "pid", "left_anti")
               .join(labels.select(F.col("pid").alias("qid"), "label"), "qid")
               .groupBy("pid").agg(F.min("label").alias("label")))
