@@ -211,8 +211,10 @@ def q_nulls_filled(spark, sf_dir):
     return before.join(after, "column").withColumnRenamed("column", "variable")
 
 
-_GAZ_SQL = """G AS (SELECT distrito || ', Lima, Perú.' AS direccion, distrito, round(avg(latitud), 6) AS latitud,
-              round(avg(longitud), 6) AS longitud, 'APPROXIMATE' AS precision, 'locality' AS type
+_GAZ_SQL = """G AS (SELECT distrito || ', Lima, Perú.' AS direccion, distrito,
+              round(sum(CAST(round(latitud * 1e6) AS BIGINT)) / count(*)) / 1e6 AS latitud,
+              round(sum(CAST(round(longitud * 1e6) AS BIGINT)) / count(*)) / 1e6 AS longitud,
+              'APPROXIMATE' AS precision, 'locality' AS type
        FROM T WHERE latitud IS NOT NULL AND longitud IS NOT NULL AND distrito IS NOT NULL GROUP BY distrito)"""
 
 
