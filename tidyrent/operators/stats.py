@@ -69,12 +69,19 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "_s") -> Data
     return df.withColumns({f"{c}{suffix}": scaled(c) for c in cols})
 
 
+def district_medians(df: DataFrame, key: str = "distrito", name: str = "median_precioxm2") -> DataFrame:
+    """Exact median price per m² per district (districts with at least one ratio)."""
+    return grouped_median(with_price_m2(df, "_pm2"), [key], "_pm2", name)
+
+
 def low_price_fix(df: DataFrame, key: str = "distrito", factor: float = 2.1, rate: float = N.USD_RATE,
-                  floor_m2: float = 10.0) -> DataFrame:
+                  floor_m2: float = 10.0, medians: DataFrame | None = None) -> DataFrame:
     """M4 + P7: per district, rows with ``factor * price/m² < median`` are taken as
-    quoted in dollars and converted; then rows under ``floor_m2`` per m² go."""
+    quoted in dollars and converted; then rows under ``floor_m2`` per m² go.
+    ``medians`` (key, median_precioxm2) may be passed when already computed."""
     d = with_price_m2(df, "_pm2")
-    med = grouped_median(d, [key], "_pm2", "_med")
+    med = (medians if medians is not None else district_medians(df, key)).select(
+        key, F.col("median_precioxm2").alias("_med"))
     j = d.join(med, on=key, how="left")
     low = F.coalesce(F.lit(factor) * F.col("_pm2") < F.col("_med"), F.lit(False))
     fixed = j.withColumn("precio", F.when(low, F.col("precio") * F.lit(float(rate))).otherwise(F.col("precio")))
@@ -82,11 +89,12 @@ def low_price_fix(df: DataFrame, key: str = "distrito", factor: float = 2.1, rat
     return fixed.where(keep).drop("_pm2", "_med")
 
 
-def price_ratios(df: DataFrame, key: str = "distrito", factor: float = 2.1) -> DataFrame:
+def price_ratios(df: DataFrame, key: str = "distrito", factor: float = 2.1,
+                 medians: DataFrame | None = None) -> DataFrame:
     """A2: per district, median price/m², median of the low rows, and their ratio
     rounded to 2 (0 when the district has no low row)."""
     d = with_price_m2(df, "_pm2")
-    med = grouped_median(d, [key], "_pm2", "median_precioxm2")
+    med = medians if medians is not None else district_medians(df, key)
     j = d.join(med, on=key, how="inner")
     low = j.where(F.lit(factor) * F.col("_pm2") < F.col("median_precioxm2"))
     med_low = grouped_median(low, [key], "_pm2", "median_low")
