@@ -1,7 +1,7 @@
 """Aggregates and per-group statistics (A1–A17) and the price operators built on
-them (M4, M7, M8). Group-level results are joined back on the group key; the
-join side is the aggregated table (one row per group), so AQE broadcasts it when
-its measured size is small and falls back to a shuffle join when it is not."""
+them (M4, M7, M8). Group-level results (one row per district) are joined back on
+the group key; they are materialised and broadcast only after a row-count check
+(``broadcast_if_small``), else the join stays a shuffle join."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
+from ..session import broadcast_if_small
 from .quantiles import exact_quantiles, grouped_median
 
 
@@ -24,7 +25,7 @@ def district_median_price_m2(df: DataFrame, key: str = "distrito") -> DataFrame:
     d = with_price_m2(df)
     counts = d.groupBy(key).agg(F.count(F.lit(1)).alias("n_listings"))
     med = grouped_median(d, [key], "precioxm2", "median_precioxm2")
-    return counts.join(med, on=key, how="left")
+    return counts.join(broadcast_if_small(med), on=key, how="left")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -82,7 +83,7 @@ def low_price_fix(df: DataFrame, key: str = "distrito", factor: float = 2.1, rat
     d = with_price_m2(df, "_pm2")
     med = (medians if medians is not None else district_medians(df, key)).select(
         key, F.col("median_precioxm2").alias("_med"))
-    j = d.join(med, on=key, how="left")
+    j = d.join(broadcast_if_small(med), on=key, how="left")
     low = F.coalesce(F.lit(factor) * F.col("_pm2") < F.col("_med"), F.lit(False))
     fixed = j.withColumn("precio", F.when(low, F.col("precio") * F.lit(float(rate))).otherwise(F.col("precio")))
     keep = ~F.coalesce(N.price_per_m2(F.col("precio"), F.col("area")) < F.lit(floor_m2), F.lit(False))
@@ -95,7 +96,7 @@ def price_ratios(df: DataFrame, key: str = "distrito", factor: float = 2.1,
     rounded to 2 (0 when the district has no low row)."""
     d = with_price_m2(df, "_pm2")
     med = medians if medians is not None else district_medians(df, key)
-    j = d.join(med, on=key, how="inner")
+    j = d.join(broadcast_if_small(med), on=key, how="inner")
     low = j.where(F.lit(factor) * F.col("_pm2") < F.col("median_precioxm2"))
     med_low = grouped_median(low, [key], "_pm2", "median_low")
     out = med.join(med_low, on=key, how="left")
@@ -118,7 +119,7 @@ def global_ratio(ratios: DataFrame, col: str = "ratio") -> DataFrame:
 def iqr_fence(df: DataFrame, key: str = "distrito", value: str = "precioxm2", k: float = 2.5) -> DataFrame:
     """A7 + M8: drop rows above ``Q3 + k·(Q3-Q1)`` of their district."""
     q = exact_quantiles(df, [key], value, [0.25, 0.75], ["_q1", "_q3"])
-    j = df.join(q, on=key, how="left")
+    j = df.join(broadcast_if_small(q), on=key, how="left")
     fence = F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))
     return j.where(~F.coalesce(F.col(value) > fence, F.lit(False))).drop("_q1", "_q3")
 

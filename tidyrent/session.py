@@ -11,6 +11,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -28,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
     )
     spark = builder.getOrCreate()
@@ -60,6 +62,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# a side joined by broadcast must have at most this many rows (checked by count)
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a (supposedly small) side, count it, and hint a broadcast
+    only when the count is within ``max_rows``; otherwise the planner keeps a
+    shuffle join. Group-level tables (one row per district, per cell …) are
+    small in practice but not bounded by construction, hence the check."""
+    small = cut_lineage(df)
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
 def stage_partitions(spark: SparkSession) -> int:
     """Partition count for a stage table: the cluster's parallelism or the
     configured shuffle width, whichever is larger (sized by the operator for
@@ -69,10 +84,9 @@ def stage_partitions(spark: SparkSession) -> int:
 
 
 def stage(df: DataFrame, key: str | None = "row_id") -> DataFrame:
-    """Materialise a stage table: hash-partitioned on ``key`` (joins on it later
-    reuse the partitioning — a checkpoint keeps its output partitioning) and
-    cut from its lineage with a reliable checkpoint. Spreads under-partitioned
-    inputs (one file, one row group) over the cluster."""
+    """Materialise a stage table: hash-partitioned on ``key`` and cut from its
+    lineage with a reliable checkpoint. Spreads under-partitioned inputs (one
+    file, one row group) evenly over the cluster."""
     n = stage_partitions(df.sparkSession)
     parts = df.repartition(n, key) if key and key in df.columns else df.repartition(n)
     return cut_lineage(parts)
