@@ -32,7 +32,7 @@ REJECT_RULES = [
 
 def _round_dec(expr: str, digits: int) -> str:
     """DuckDB rounding with Spark's HALF_UP-on-decimal semantics."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 @register("low_price_fix", O.with_tables(f""", M AS (SELECT distrito, median(precio / area) AS med FROM T GROUP BY distrito),
