@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..operators import enrich as E
 from ..session import read_table
 from ..sources import files as S
+from . import format as fmt
 from . import oracle as O
 from .catalog import raw, register, typed
 from .queries_wrangle import _lit
@@ -128,12 +129,7 @@ def q_json_roundtrip(spark, sf_dir):
     """S9 write (JSON lines, null keys kept) → S1/S3 read → P1 → stage 1."""
     out = S.scratch_dir(spark, "json")
     S.write_json(raw(spark, sf_dir), out)
-    return formatted_from(S.read_listing_folder(spark, out, shape="lines"))
-
-
-def formatted_from(raw_df):
-    from . import format as fmt
-    return fmt.format_listings(raw_df)
+    return fmt.format_listings(S.read_listing_folder(spark, out, shape="lines"))
 
 
 @register("csv_roundtrip", O.with_tables("SELECT * FROM T"))

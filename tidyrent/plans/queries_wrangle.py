@@ -9,14 +9,12 @@ from ..operators import dedupe as D
 from ..operators import enrich as E
 from ..operators import wrangle as W
 from . import oracle as O
-from .catalog import raw, register, typed, typed_stage
+from .catalog import raw, register, typed_stage
 
 W1_KEYS = ["latitud", "longitud", "area", "dormitorios", "banos", "precio", "distrito", "antiguedad"]
 W2_KEYS = ["latitud", "longitud", "dormitorios", "banos", "area", "precio"]
 W3_KEYS = ["area", "dormitorios", "banos", "descripcion"]
 CRITICAL = ["precio", "dormitorios", "banos", "fecha_publicacion", "distrito"]
-T_COLS = ["row_id", "descripcion", "fecha_publicacion", "antiguedad", "precio", "latitud", "longitud",
-          "dormitorios", "banos", "area", "distrito"]
 
 
 def _keep_first_sql(src: str, keys: list[str]) -> str:
