@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixtures import listings_raw
-from ..session import stage, stage_partitions
+from ..session import spread, stage
 from . import format as fmt
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L: raw listings (they stand for the raw files a real run reads), spread
     over the cluster by ``row_id``. The exchange is also a plan boundary: the
     fixture's expressions are not fused into the formatting code."""
-    return listings_raw(spark, sf_dir).repartition(stage_partitions(spark), "row_id")
+    return spread(listings_raw(spark, sf_dir))
 
 
 def formatted(spark: SparkSession, sf_dir: str) -> DataFrame:

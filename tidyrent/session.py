@@ -87,9 +87,20 @@ def stage(df: DataFrame, key: str | None = "row_id") -> DataFrame:
     """Materialise a stage table: hash-partitioned on ``key`` and cut from its
     lineage with a reliable checkpoint. Spreads under-partitioned inputs (one
     file, one row group) evenly over the cluster."""
-    n = stage_partitions(df.sparkSession)
-    parts = df.repartition(n, key) if key and key in df.columns else df.repartition(n)
-    return cut_lineage(parts)
+    return cut_lineage(spread(df, key))
+
+
+def spread(df: DataFrame, key: str | None = "row_id") -> DataFrame:
+    """Hash-repartition on ``key``. With AQE on, the partition count is left to
+    AQE (sized from the shuffled bytes, at least the cluster's parallelism for
+    data that warrants it); without AQE, ``stage_partitions``."""
+    spark = df.sparkSession
+    aqe = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    has_key = bool(key) and key in df.columns
+    if aqe:
+        return df.repartition(key) if has_key else df.repartition(stage_partitions(spark))
+    n = stage_partitions(spark)
+    return df.repartition(n, key) if has_key else df.repartition(n)
 
 
 def table_path(sf_dir: str, name: str) -> str:
