@@ -60,11 +60,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return _canon(out)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node that has an edge; label = smallest node
-    of its component. ``edges``: columns ``a``, ``b`` (undirected)."""
+    of its component. ``edges``: columns ``a``, ``b`` (undirected). Rounds go on
+    until the edges form stars; each round lowers node labels towards their
+    component's minimum, so it always ends."""
     cur = cut_lineage(_canon(edges))
-    for _ in range(max_rounds):
+    while True:
         cur = cut_lineage(_small_star(_large_star(cur)))
         # converged once the edges form stars: each node (a) has one edge, to a
         # center (b) that is never itself a leaf — then both rewrites are no-ops

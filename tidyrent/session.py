@@ -7,7 +7,9 @@ answers "where may I cut lineage?" from the session's own configuration.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +43,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) do we create one under /tmp.
+    On a cluster ``spark.checkpoint.dir`` must point at shared storage and is
+    used as is; without it a cluster session is refused, as no machine-local
+    folder would be seen by the other machines. Only a ``local`` master (tests,
+    bench) gets a folder of its own, removed when the process ends.
     """
+    sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_KEY, None)
     if not current:
+        if not (sc.master or "").startswith("local") or "cluster" in sc.master:
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidyrent-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set(CHECKPOINT_KEY, current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(current)
     return current
 
 
