@@ -79,10 +79,12 @@ def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     most = nodes.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
     tables, reach = [now], 1
     while reach < most and not now.where("up is not null").isEmpty():
+        # pointers that have passed a root rest; only the others join on
         above = now.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        now = stage(now.join(above, ["conv", "up"], "left").select(
-            "conv", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "chat-pointers")
+        moved = now.where("up is not null").join(above, ["conv", "up"]).select(
+            "conv", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth"))
+        now = stage(now.where("up is null").unionByName(moved), "chat-pointers")
         tables.append(now)
         reach *= 2
     return tables, now
