@@ -12,6 +12,9 @@ from ..session import ensure_checkpoint_dir
 
 #: a side is broadcast only if its written table is at most this large
 BROADCAST_BYTES = 4 << 20
+#: bounds of one Arrow batch between Spark and a Python worker
+ARROW_BYTES = 8 << 20
+ARROW_ROWS = 4096
 
 
 def _path(spark: SparkSession, path: str):
@@ -59,7 +62,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver did."""
+    """Lets Python workers import this package from where the driver did, and
+    bounds what a worker holds at once: batches of at most ``ARROW_BYTES``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -79,9 +79,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
     return rows.mapInPandas(tokenise, PIECES + ", ids binary" * keep_ids)
 
 
-def _fill(counts: np.ndarray, capacity: int, small_first: bool) -> list[tuple[Pattern, int]]:
-    """Combinations of up to four pieces that fill a sequence exactly, consumed
-    from ``counts`` (changed in place)."""
+def _fill(counts: np.ndarray, capacity: int, small_first: bool, partners: int = 3) -> list[tuple[Pattern, int]]:
+    """Combinations of a piece and up to ``partners`` others that fill a sequence
+    exactly, consumed from ``counts`` (changed in place)."""
     taken: list[tuple[Pattern, int]] = []
 
     def consume(lengths: tuple[int, ...]) -> None:
@@ -111,11 +111,11 @@ def _fill(counts: np.ndarray, capacity: int, small_first: bool) -> list[tuple[Pa
             continue
         if gap <= top:
             consume((top, gap))
-        for a in pairs(gap, top) if counts[top] else ():
+        for a in pairs(gap, top) if counts[top] and partners > 1 else ():
             consume((top, int(a), int(gap - a)))
             if not counts[top]:
                 break
-        if not counts[top]:
+        if not counts[top] or partners < 3:
             continue
         for a in in_order(np.flatnonzero(counts[: min(top, gap - 2) + 1])) if gap > 2 else ():
             for b in pairs(gap - int(a), min(int(a), top)):
@@ -161,14 +161,15 @@ def _best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
-    """Patterns and how many sequences take each; all pieces are placed. Both
-    orders of consuming combinations are planned, the shorter plan is taken."""
+    """Patterns and how many sequences take each; all pieces are placed. Greedy
+    use of long combinations can leave worse residuals, so plans with at most
+    one, two and three partners, in both orders, are made; the shortest is taken."""
     plans = []
-    for small_first in (False, True):
+    for partners, small_first in ((1, False), (2, True), (2, False), (3, True), (3, False)):
         left = np.zeros(capacity + 1, dtype=np.int64)
         for x, n in counts.items():
             left[x] = n
-        plans.append(_fill(left, capacity, small_first) + _best_fit(left, capacity))
+        plans.append(_fill(left, capacity, small_first, partners) + _best_fit(left, capacity))
     return min(plans, key=lambda p: sum(n for _, n in p))
 
 

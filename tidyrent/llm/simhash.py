@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cluster import connected_components
+from . import tokens
 from .common import stage
 
 SEED = 42
@@ -68,6 +69,7 @@ def with_fingerprint(docs: DataFrame, shingle: int, text_col: str = "text", out:
 
     @F.pandas_udf("bigint")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens.release()
         for s in texts:
             yield pd.Series([fingerprint(t, shingle) for t in s], dtype="int64")
 

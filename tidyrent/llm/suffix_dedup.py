@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import small_side, stage
 
 MIN_WORDS = 50
@@ -104,6 +105,7 @@ def minimiser_suffixes(hashes: list[list[int]], gram: int, window: int, context:
 
 def suffixes(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int, context: int) -> DataFrame:
     def retain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens.release()
         for pdf in batches:
             for a in range(0, len(pdf), 256):
                 part = pdf.iloc[a : a + 256]
@@ -117,9 +119,8 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of sorted suffixes, those with an equal neighbour, with their run's first
-    suffix and their predecessor. ``edge``: the run touches an end of the
-    partition, so its first suffix may lie elsewhere — then every suffix of it is
-    returned."""
+    suffix and their predecessor. ``edge``: the suffix has the partition's first
+    key or is its last, so its run may go on in another partition."""
     held = None  # last row so far: its successor is not known yet
     first_key = None
     for pdf in batches:
@@ -167,11 +168,9 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gra
     kept = stage(suffixes(docs, id_col, text_col, gram, window, context), "suffixes")
     order = ["key", "doc", "pos"]
     members = stage(kept.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs, MEMBER), "suffix-runs")
-    # only a partition's first and last keys can go on elsewhere
-    edge_keys = members.where("edge").select("key").distinct()
-    across = members.join(small_side(edge_keys, "edge-keys"), "key", "left_semi")
-    heads = (across.groupBy("key").agg(F.min(F.struct("doc", "pos")).alias("head"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("key", "head"))
+    # only a partition's first and last keys can go on elsewhere; their rows know
+    # the first suffix of the run as far as their own partition has it
+    heads = (members.where("edge").groupBy("key").agg(F.min(F.struct(F.col("head_doc").alias("doc"), F.col("head_pos").alias("pos"))).alias("head")))
     heads = small_side(heads, "edge-heads")
     moved = members.join(heads, "key", "left")
     head_doc = F.coalesce("head.doc", "head_doc")

@@ -127,6 +127,12 @@ def encoder(path: str) -> PieceEncoder:
     return _LOADED[path]
 
 
+def release() -> None:
+    """Drops this worker's encoders: workers are used again by other operators,
+    which should not share their memory with a memo."""
+    _LOADED.clear()
+
+
 def crc32_u32(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes()) & 0xFFFFFFFF
