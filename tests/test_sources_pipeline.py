@@ -108,3 +108,22 @@ def test_pipeline_is_deterministic(spark, small_dir, run_small):
     first = run_small["cleaned"].drop("area")  # forest predictions aside, the rows are the same
     assert first.select("row_id").exceptAll(again.select("row_id")).count() == 0
     assert again.count() == first.count()
+
+
+def test_upper_case_extension_and_malformed_line(spark, tmp_path):
+    from tidyrent.sources import files
+    (tmp_path / "X.JSON").write_text('[{"a": 1}, {"a": 2}]')
+    assert files.read_by_extension(spark, str(tmp_path / "X.JSON")).count() == 2
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l" / "a.json").write_text('{"a": 1, "b": 2}\n{"a": 3, "b"\n{"a": 4, "b": 5}\n')
+    recs = files.read_json_records(spark, str(tmp_path / "l"), shape="lines")
+    assert recs.count() == 2 and sorted(files.common_keys(recs)) == ["a", "b"]
+
+
+def test_rows_without_area_are_rejected(spark):
+    from tidyrent.plans.rules import REJECT_RULES
+    df = spark.createDataFrame([(1, 2, 1, 0.0, 900.0, 10.0), (2, 2, 1, 50.0, 900.0, 18.0), (3, 2, 1, None, 900.0, None)],
+                               "row_id int, dormitorios int, banos int, area double, precio double, precioxm2 double")
+    for rule in REJECT_RULES:
+        df = df.where(f"NOT coalesce({rule}, false)")
+    assert sorted(r.row_id for r in df.collect()) == [2, 3]

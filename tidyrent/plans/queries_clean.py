@@ -15,19 +15,12 @@ from ..operators.wrangle import fill_candidates
 from . import oracle as O
 from .catalog import register, typed, typed_stage
 from .queries_wrangle import CANDIDATES_SQL
+from .rules import REJECT_RULES
 
 T_COLS = ["row_id", "descripcion", "fecha_publicacion", "antiguedad", "precio", "latitud", "longitud",
           "dormitorios", "banos", "area", "distrito"]
 SIX = ["latitud", "longitud", "dormitorios", "banos", "area", "precio"]
 
-# --- fixed values: reject rules of the final clean-up, in source order ---
-REJECT_RULES = [
-    "dormitorios > 6 OR area > 600 OR precioxm2 > 120 OR precioxm2 < 8",
-    "dormitorios <= 2 AND banos = 1 AND area >= 160",
-    "dormitorios <= 2 AND banos = 2 AND area >= 250",
-    "precio < 600",
-]
-# --- end of fixed values ---
 
 
 def _round_dec(expr: str, digits: int) -> str:

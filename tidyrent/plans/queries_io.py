@@ -91,10 +91,10 @@ def _classify_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     """A pandas provider for E7 (what a remote classifier would return):
     keyword rules on one chunk of records."""
     low = pdf["descripcion"].fillna("").str.lower()
-    apt = low.str.contains(E.APARTMENT_WORDS, regex=True)
-    other = low.str.contains(E.OTHER_PROPERTY_WORDS, regex=True)
-    sale = low.str.contains(re.escape(E.SALE_WORD), regex=True)
-    rent = low.str.contains(re.escape(E.RENT_WORD), regex=True)
+    apt = low.str.contains(E.whole_words(E.APARTMENT_WORDS), regex=True)
+    other = low.str.contains(E.whole_words(E.OTHER_PROPERTY_WORDS), regex=True)
+    sale = low.str.contains(E.whole_words(E.SALE_WORD), regex=True)
+    rent = low.str.contains(E.whole_words(E.RENT_WORD), regex=True)
     prop = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
     prop[other] = E.NOT_APARTMENT
     prop[apt] = E.APARTMENT
@@ -109,13 +109,13 @@ def _classify_batch(pdf: pd.DataFrame) -> pd.DataFrame:
 
 @register("map_batches", O.with_tables(f"""
 SELECT row_id,
-  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.APARTMENT_WORDS)}) THEN {_lit(E.APARTMENT)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.OTHER_PROPERTY_WORDS)}) THEN {_lit(E.NOT_APARTMENT)} END
+  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.APARTMENT_WORDS))}) THEN {_lit(E.APARTMENT)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.OTHER_PROPERTY_WORDS))}) THEN {_lit(E.NOT_APARTMENT)} END
     AS propiedad,
-  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.SALE_WORD)})
-        AND regexp_matches(lower(descripcion), {_lit(E.RENT_WORD)}) THEN {_lit(E.RENT_AND_SALE)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.SALE_WORD)}) THEN {_lit(E.SALE)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.RENT_WORD)}) THEN {_lit(E.RENT)} END AS propuesta
+  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.SALE_WORD))})
+        AND regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT_AND_SALE)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.SALE_WORD))}) THEN {_lit(E.SALE)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT)} END AS propuesta
 FROM L""", upto="L"))
 def q_map_batches(spark, sf_dir):
     """A pandas provider applied to chunks of 20 records per

@@ -9,12 +9,11 @@ from ..operators import dedupe as D
 from ..operators import enrich as E
 from ..operators import wrangle as W
 from . import oracle as O
+from .rules import CRITICAL, W1_KEYS
 from .catalog import raw, register, typed_stage
 
-W1_KEYS = ["latitud", "longitud", "area", "dormitorios", "banos", "precio", "distrito", "antiguedad"]
 W2_KEYS = ["latitud", "longitud", "dormitorios", "banos", "area", "precio"]
 W3_KEYS = ["area", "dormitorios", "banos", "descripcion"]
-CRITICAL = ["precio", "dormitorios", "banos", "fecha_publicacion", "distrito"]
 
 
 def _keep_first_sql(src: str, keys: list[str]) -> str:
@@ -30,13 +29,13 @@ FLAGS_SQL = " UNION ALL ".join(
     f"SELECT row_id, descripcion, {_lit(var)} AS variable FROM T WHERE {pred}" for var, pred in W.FLAG_RULES)
 VERDICTS_SQL = f"""
 SELECT row_id, variable,
-  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.APARTMENT_WORDS)}) THEN {_lit(E.APARTMENT)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.OTHER_PROPERTY_WORDS)}) THEN {_lit(E.NOT_APARTMENT)} END
+  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.APARTMENT_WORDS))}) THEN {_lit(E.APARTMENT)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.OTHER_PROPERTY_WORDS))}) THEN {_lit(E.NOT_APARTMENT)} END
     AS propiedad,
-  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.SALE_WORD)})
-        AND regexp_matches(lower(descripcion), {_lit(E.RENT_WORD)}) THEN {_lit(E.RENT_AND_SALE)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.SALE_WORD)}) THEN {_lit(E.SALE)}
-       WHEN regexp_matches(lower(descripcion), {_lit(E.RENT_WORD)}) THEN {_lit(E.RENT)} END AS propuesta
+  CASE WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.SALE_WORD))})
+        AND regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT_AND_SALE)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.SALE_WORD))}) THEN {_lit(E.SALE)}
+       WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT)} END AS propuesta
 FROM FL"""
 
 

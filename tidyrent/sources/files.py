@@ -61,7 +61,7 @@ def first_files(spark: SparkSession, folder: str, max_files: int | None, suffix:
 
 # ------------------------------------------------------------------ S3, S4
 def read_json_records(spark: SparkSession, folder: str | list[str], shape: str = "document",
-                      glob: str = "*.json") -> DataFrame:
+                      glob: str = "*.[jJ][sS][oO][nN]") -> DataFrame:
     """S3: one row per JSON record: ``(row_id, source_file, rec)``; ``rec`` is
     a ``map<string,string>`` (scalar values as their JSON text, a key with a
     null value kept with a null entry).
@@ -89,7 +89,9 @@ def read_json_records(spark: SparkSession, folder: str | list[str], shape: str =
                        # text files expose no line number; a split-local id is stable
                        # for a given file layout and split size
                        F.monotonically_increasing_id().alias("pos"), F.trim("value").alias("rec")))
-        out = raw.where(F.col("rec").startswith("{")).withColumn("rec", F.from_json("rec", _MAP))
+        # a malformed line is no record: it must not cost the others their keys
+        out = (raw.where(F.col("rec").startswith("{")).withColumn("rec", F.from_json("rec", _MAP))
+               .where(F.col("rec").isNotNull()))
     else:
         raise ValueError("shape must be 'document' or 'lines'")
     return out.select(F.xxhash64("source_file", "pos").alias("row_id"), "source_file", "rec")
