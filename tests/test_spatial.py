@@ -86,6 +86,31 @@ def test_nearest_reference(spark, listings):
     assert got == want
 
 
+def test_candidates_hold_the_nearest_at_any_start_side(spark):
+    # a dense city, a sparse region, far points and equal coordinates
+    rng = np.random.default_rng(4)
+    lat = np.concatenate([rng.normal(-12.0, 0.01, 300), rng.uniform(-30, -10, 60), [50.0, 51.0, -12.0, -12.0]])
+    lon = np.concatenate([rng.normal(-77.0, 0.01, 300), rng.uniform(-80, -60, 60), [100.0, 10.0, -77.0, -77.0]])
+    pts = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))],
+                                "i long, lat double, lon double")
+    x, y, z = SP._unit(F.col("lat"), F.col("lon"), False)
+    pts = pts.select("i", x.alias("x"), y.alias("y"), z.alias("z"))
+    qs = pts.select(F.col("i").alias("qid"), "x", "y", "z")
+    refs = pts.select(F.col("i").alias("rid"), F.col("i").cast("string").alias("label"), F.lit(1).alias("w"), "x", "y", "z")
+    xyz = np.array([[r.x, r.y, r.z] for r in pts.orderBy("i").collect()])
+    d = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(-1))
+    for k, side in ((2, 1e-9), (10, 1e-3), (400, 0.5)):
+        got = {}
+        for r in SP._knn_candidates(qs, refs, k, side).collect():
+            got.setdefault(r.qid, []).append(r.d)
+        for i in range(len(lat)):
+            want = np.sort(d[i])[:k]
+            assert np.allclose(sorted(got[i])[:k], want, atol=1e-12)
+        if k <= 10:  # a small multiple of k, also for the far points
+            assert max(len(v) for v in got.values()) <= max(SP.DIRECT_PER_K, 30) * k
+    assert SP._knn_candidates(qs, refs.where("false"), 2, 1e-9).count() == 0
+
+
 def brute_dbscan_labels(X, ids, eps, min_samples):
     """Reference semantics used here: core = ≥ min_samples within eps (self
     included); components over core–core edges; border → smallest neighbouring

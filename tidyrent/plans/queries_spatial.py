@@ -8,9 +8,12 @@ from ..functions import numeric as N
 from ..operators import cluster as C
 from ..operators import enrich as E
 from ..operators import spatial as SP
+from ..operators import stats as S
+from ..session import cut_lineage
 from . import oracle as O
 from .catalog import register, typed_stage
 from .queries_wrangle import _GAZ_SQL
+from .rules import CRITICAL
 
 
 @register("spatial_outliers")
@@ -36,10 +39,10 @@ def q_knn_label(spark, sf_dir):
 
 @register("near_duplicates")
 def q_near_duplicates(spark, sf_dir):
-    """M3 on the listings that pass the earlier range filters (area ≤ 700,
-    price ≤ 2e4, latitude > -13) — the position M3 has in the pipeline."""
-    t = typed_stage(spark, sf_dir).where("area <= 700 AND precio <= 2e4 AND latitud > -13")
-    return C.collapse_near_duplicates(t)
+    """M3 at its place in the job: on all listings after M1, M2 and M4."""
+    t = SP.drop_density_outliers(typed_stage(spark, sf_dir).dropna(subset=CRITICAL))
+    t = cut_lineage(SP.relabel_by_neighbours(cut_lineage(t)))
+    return C.collapse_near_duplicates(cut_lineage(S.low_price_fix(t)))
 
 
 _REVERSE_SQL = O.with_tables(f""", {_GAZ_SQL},
