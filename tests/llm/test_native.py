@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,16 @@ def test_language_evidence_decides_short_texts(spark, make_docs):
     bare = langid.identify(make_docs([(1, "x y", None, None)]), "text", F.col("lang"), F.lit(None), F.col("source")).collect()
     assert [(r["__lid_lang"], r["__lid_kept"]) for r in bare] == [(None, False)]
     assert json.dumps(sorted(out[1].asDict())).count("__lid") == 3
+
+
+def test_text_model_takes_each_text_once_and_few(spark, make_docs):
+    rows = [(k, "aaaa", "en", "a") for k in range(500)] + [(1000 + k, f"b{k:04d}", "en", "a") for k in range(400)] + [(5000, "cccc", "de", "a")]
+    labelled = make_docs(rows)
+    langs, model = langid.fit(labelled, "text", F.col("lang"), per_language=1000)
+    counts = np.exp(model)
+    own = langid._codes("aaaa")
+    assert langs == ["de", "en"]
+    assert np.isclose(counts[1, own[1]], 2.5 / (0.5 * langid.BUCKETS + 4 + 400 * 5), rtol=1e-3)  # 500 copies teach once
+    few = np.exp(langid.fit(labelled, "text", F.col("lang"), per_language=10)[1])
+    total = 0.5 / few[1].min() - 0.5 * langid.BUCKETS  # trigrams that the ten texts gave
+    assert 10 * 5 - 1.5 <= total <= 10 * 5 + 0.5
