@@ -19,8 +19,8 @@ from itertools import chain
 import numpy as np
 
 #: bounds of a worker's memo: distinct pieces (about 250 bytes each) and their ids
-MEMO_PIECES = 1_200_000
-MEMO_IDS = 12_000_000
+MEMO_PIECES = 400_000
+MEMO_IDS = 4_000_000
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 # byte-level vocabularies write a byte that is not printable as the next free
