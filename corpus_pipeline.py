@@ -19,6 +19,9 @@ from tidyrent.llm import langid, mixing, packing, simhash, suffix_dedup
 from tidyrent.llm.common import ship, stage, table
 from tidyrent.llm.queries import MAX_BITS, MIX_BLOCK_ROWS, MIX_WEIGHTS, PACK_END_ID, SHINGLE, TOKENIZER
 
+#: executors still hold what earlier stages left: the tokenizer remembers fewer pieces
+MEMO_PIECES = 400_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified. Declared language: ``lang``; host:
@@ -52,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 ids and their places in packed sequences."""
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), PACK_END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), PACK_END_ID, memo_pieces=MEMO_PIECES)
 
 
 STAGES = [

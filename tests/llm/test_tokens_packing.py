@@ -24,6 +24,12 @@ def test_pieces_encode_like_whole_texts(text):
     assert list(PieceEncoder(PATH).encode([text])[0]) == whole(text)
 
 
+def test_ids_do_not_depend_on_the_memo():
+    small = PieceEncoder(PATH, 3)
+    for text in ["one two three four five", "one two", "six, seven one", "", "five four"]:
+        assert list(small.encode([text])[0]) == whole(text)
+
+
 @pytest.mark.parametrize("n,distinct", [(1, 1), (5, 1), (5000, 7), (300_000, 3000), (2000, 2000)])
 def test_rans_round_trip_and_spans(n, distinct):
     ids = (np.random.default_rng(n).zipf(1.3, n) % distinct).astype(np.uint32)

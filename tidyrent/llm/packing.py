@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stage
-from .tokens import crc32_u32, encoder
+from .tokens import MEMO_PIECES, crc32_u32, encoder
 
 CAPACITY = 2048
 #: pieces of one length that are ranked in one chunk at most
@@ -50,7 +50,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id",
-              text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+              text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES) -> DataFrame:
     """One row per piece; ``keep_ids`` adds the piece's ids (little-endian
     unsigned 32-bit) as binary column ``ids``."""
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "chunk"] + ["ids"] * keep_ids
@@ -58,7 +58,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        enc, end = encoder(tokenizer), np.array([end_id], dtype=np.uint32)
+        enc, end = encoder(tokenizer, memo_pieces), np.array([end_id], dtype=np.uint32)
         chunk, made = TaskContext.get().partitionId() << 32, 0
         for pdf in batches:
             for a in range(0, len(pdf), 256):
@@ -226,7 +226,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id",
-                   text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Tokenises, cuts and packs ``docs``; see the module's text."""
-    pieces = stage(pieces_of(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids), "pack-pieces")
+                   text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES) -> DataFrame:
+    """Tokenises, cuts and packs ``docs``; see the module's text. ``memo_pieces``
+    bounds a worker's memory, not the results."""
+    pieces = stage(pieces_of(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids, memo_pieces), "pack-pieces")
     return pack(pieces, capacity)

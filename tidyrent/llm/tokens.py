@@ -5,7 +5,7 @@ and every space that follows a non-space character starts a new piece. Texts are
 therefore cut at such spaces, each distinct piece is encoded once by the
 `tokenizers` library, and a text's ids are its pieces' ids in order — the same
 ids as encoding the whole text, at a fraction of the work on repeated words.
-The memo is bounded by ``MEMO_PIECES`` and ``MEMO_IDS`` and is emptied
+The memo is bounded by ``memo_pieces`` and ``IDS_PER_PIECE`` times as many ids and is emptied
 when it is full, so a task's memory does not grow with its rows.
 """
 
@@ -18,9 +18,9 @@ from itertools import chain
 
 import numpy as np
 
-#: bounds of a worker's memo: distinct pieces (about 250 bytes each) and their ids
-MEMO_PIECES = 400_000
-MEMO_IDS = 4_000_000
+#: bounds of a worker's memo: distinct pieces (about 250 bytes each), and ids for each
+MEMO_PIECES = 1_200_000
+IDS_PER_PIECE = 10
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 # byte-level vocabularies write a byte that is not printable as the next free
@@ -28,20 +28,21 @@ _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _SPACE_CHAR = _BYTE_CHARS[32]
-_LOADED: dict[str, PieceEncoder] = {}
+_LOADED: dict[tuple[str, int], PieceEncoder] = {}
 
 
 class PieceEncoder:
     """Ids of many texts at once; ``path``: a `tokenizers` JSON file of a
     byte-level BPE whose pattern attaches one leading space to a word."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.mark = {c: self.model.token_to_id(c) for c in ".,"}
+        self.memo_pieces = memo_pieces
         self.clear()
 
     def clear(self) -> None:
@@ -93,7 +94,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One ``uint32`` array of ids per text."""
-        if len(self.size) > MEMO_PIECES or self.used > MEMO_IDS:
+        if len(self.size) > self.memo_pieces or self.used > IDS_PER_PIECE * self.memo_pieces:
             self.clear()
         cut: list[list[str] | None] = []
         for t in texts:
@@ -120,11 +121,12 @@ class PieceEncoder:
         return out
 
 
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker process and tokenizer file."""
-    if path not in _LOADED:
-        _LOADED[path] = PieceEncoder(path)
-    return _LOADED[path]
+def encoder(path: str, memo_pieces: int = MEMO_PIECES) -> PieceEncoder:
+    """One encoder per worker process, tokenizer file and bound of its memo."""
+    key = (path, memo_pieces)
+    if key not in _LOADED:
+        _LOADED[key] = PieceEncoder(path, memo_pieces)
+    return _LOADED[key]
 
 
 def release() -> None:
