@@ -112,3 +112,42 @@ def test_remove_repeats(spark, make_docs):
     kept = out[3].split()
     assert whole and not whole & {tuple(kept[k : k + 50]) for k in range(len(kept) - 49)}
     assert 104 not in out and (None, rows[9][1]) in [(r.doc_id, r.text) for r in got.collect()]
+
+
+def longer_repeats(groups=30, shared=45, whole=51):
+    """Groups of four: P, P + Q, P, P + Q, each between words of its own."""
+    rng, rows, expected = np.random.default_rng(3), [], {}
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    for g in range(groups):
+        passage = word(whole)
+        for k, n in enumerate((shared, whole, shared, whole)):
+            before = word(int(rng.integers(0, 40)))
+            rows.append((4 * g + k, " ".join(before + passage[:n] + word(20)), "en", "a"))
+            if k == 3:
+                expected[4 * g + k] = (len(before), len(before) + whole)
+    return rows, expected
+
+
+@pytest.mark.parametrize("partitions", ["1", "40"])
+def test_repeats_longer_than_what_many_share(spark, make_docs, partitions):
+    rows, expected = longer_repeats()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    got = suffix_dedup.repeated_spans(make_docs(rows)).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert {r.doc_id: (r.start_word, r.end_word) for r in got} == expected
+    assert all(r.match_doc_id == r.doc_id - 2 for r in got)
+
+
+def test_runs_over_batches():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    key = np.sort(rng.choice([1, 1, 1, 2, 3, 4, 5, 6, 7], 60).tolist() + [9, 9, 10])
+    rows = pd.DataFrame({"key": key, "doc": np.arange(len(key)), "pos": 1})
+    for size in (1, 2, 3, 7, 100):
+        out = pd.concat(list(suffix_dedup._runs(iter([rows[a : a + size] for a in range(0, len(rows), size)]))))
+        n, head = rows.groupby("key")["doc"].count(), rows.groupby("key")["doc"].min()
+        assert sorted(out["doc"]) == [d for d, k in zip(rows["doc"], key, strict=True) if n[k] > 1 or k in (key[0], key[-1])]
+        assert (out["crowded"] == (out["key"].map(n) > 2)).all() and (out["head_doc"] == out["key"].map(head)).all()
+        assert out[out["key"] == key[0]]["edge"].all() and out["edge"].iloc[-1]

@@ -8,13 +8,18 @@ the ``context = min_words - window + 1`` words from there on.
 
 The suffixes are sorted over the whole cluster by those words' hash, document and
 place (range partitions, so one passage in very many documents spreads over
-tasks); neighbours with equal words form runs. Each suffix of a run is compared
-with the run's first suffix and with its own predecessor: both texts are
-brought together and, aligned at that place, the match is verified word by word and
-extended to the left and right as far as it goes, and on beyond single edits.
-What is at least ``min_words`` long is a repeat: the earlier document keeps the
-passage, the later one's copy is the returned span.
-Runs that cross a range boundary get their first suffix from a grouped minimum.
+tasks); neighbours with equal words form runs. Of a run of two the later suffix is
+compared with the first. In longer runs the first suffix need not share
+``min_words`` words with the others, so there every window of ``min_words`` words is
+looked up: it belongs to the one minimiser that it selects itself, its hash is
+sorted in the same way, and it is compared with the first document that has it.
+So each window that an earlier document has is found, in time linear in the words.
+Both texts are brought together and, aligned at that place, the match is verified
+word by word and extended to the left and right as far as it goes, and on beyond
+single edits. What is at least ``min_words`` long is a repeat: the earlier document
+keeps the passage, the later one's copy is the returned span.
+Runs that cross a range boundary get their first suffix and whether they are
+longer than two from grouped aggregates.
 
 Words are separated by white space (``str.split``); spans are cut at words.
 
@@ -45,7 +50,7 @@ GRAM = 5
 WINDOW = 14
 
 SUFFIX = "key bigint, doc bigint, pos int"
-MEMBER = "key bigint, doc bigint, pos int, head_doc bigint, head_pos int, prev_doc bigint, prev_pos int, edge boolean"
+MEMBER = "key bigint, doc bigint, pos int, head_doc bigint, head_pos int, crowded boolean, edge boolean"
 SPAN = ("doc_id bigint, text_hash bigint, start_word int, end_word int, start_char int, end_char int,"
         "match_doc_id bigint, match_start_word int")
 
@@ -75,19 +80,27 @@ def word_hashes(text: str) -> list[int]:
     return [digest(w) for w in text.split()]
 
 
-def minimiser_suffixes(hashes: list[list[int]], gram: int, window: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(document, word position, hash of the next ``context`` words)`` of the
-    retained suffixes of some documents, given as their words' hashes."""
+def _grams(hashes: list[list[int]], gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the documents' words in one row: each word's document, the documents'
+    first words, prefix sums and inverse powers for hashes, and the grams' hashes."""
     sizes = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
     n = int(sizes.sum())
-    none = np.zeros(0, dtype=np.int64)
-    if n < window + gram - 1:
-        return none, none, none.astype(np.uint64)
     flat = np.fromiter((x for h in hashes for x in h), dtype=np.uint64, count=n)
     doc = np.repeat(np.arange(len(hashes)), sizes)
     up, down = _power(n + 1)
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(flat * up[:n])])
     grams = _mix((total[gram:] - total[: n - gram + 1]) * down[: n - gram + 1])
+    return doc, np.cumsum(sizes) - sizes, total, down, grams
+
+
+def minimiser_suffixes(hashes: list[list[int]], gram: int, window: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, word position, hash of the next ``context`` words)`` of the
+    retained suffixes of some documents, given as their words' hashes."""
+    n = sum(map(len, hashes))
+    none = np.zeros(0, dtype=np.int64)
+    if n < window + gram - 1:
+        return none, none, none.astype(np.uint64)
+    doc, first, total, down, grams = _grams(hashes, gram)
     span = window + gram - 1
     inside = doc[: n - span + 1] == doc[span - 1 :]
     view = np.lib.stride_tricks.sliding_window_view(grams, window)[: n - span + 1]
@@ -99,7 +112,28 @@ def minimiser_suffixes(hashes: list[list[int]], gram: int, window: int, context:
     at = at[at + context <= n]
     at = at[doc[at] == doc[at + context - 1]]
     key = _mix((total[at + context] - total[at]) * down[at])
-    first = np.cumsum(sizes) - sizes
+    return doc[at], at - first[doc[at]], key
+
+
+def minimiser_windows(hashes: list[list[int]], wanted: list[np.ndarray], gram: int, window: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, word position, hash)`` of the windows of ``words`` words whose
+    first ``window`` grams select a minimiser at one of the document's ``wanted``
+    positions. Equal windows select alike."""
+    n = sum(map(len, hashes))
+    none = np.zeros(0, dtype=np.int64)
+    if n < words:
+        return none, none, none.astype(np.uint64)
+    doc, first, total, down, grams = _grams(hashes, gram)
+    asked = np.zeros(n, dtype=bool)
+    for k, places in enumerate(wanted):
+        asked[first[k] + places[places < len(hashes[k])]] = True
+    near = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(asked)])
+    starts = np.arange(n - words + 1)
+    starts = starts[(doc[starts] == doc[starts + words - 1]) & (near[starts + window] > near[starts])]
+    view = np.lib.stride_tricks.sliding_window_view(grams, window)
+    at = [part[asked[part + np.argmin(view[part], axis=1)]] for lo in range(0, len(starts), 1 << 16) for part in [starts[lo : lo + (1 << 16)]]]
+    at = np.concatenate([none, *at])
+    key = _mix((total[at + words] - total[at]) * down[at])
     return doc[at], at - first[doc[at]], key
 
 
@@ -117,68 +151,91 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int
     return rows.mapInPandas(retain, SUFFIX)
 
 
+def windows(docs: DataFrame, places: DataFrame, id_col: str, text_col: str, gram: int, window: int, words: int) -> DataFrame:
+    """Windows of the suffixes in ``places`` (``doc, pos``), in ``SUFFIX``'s columns."""
+    def retain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens.release()
+        for pdf in batches:
+            for a in range(0, len(pdf), 256):
+                part = pdf.iloc[a : a + 256]
+                wanted = [np.asarray(x, dtype=np.int64) for x in part["places"]]
+                doc, pos, key = minimiser_windows([word_hashes(t) for t in part["text"]], wanted, gram, window, words)
+                yield pd.DataFrame({"key": key.view(np.int64), "doc": part["doc"].to_numpy()[doc], "pos": pos.astype(np.int32)})
+
+    per_doc = small_side(places.groupBy("doc").agg(F.collect_set("pos").alias("places")), "suffix-crowded")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).where(
+        "doc is not null and text is not null")
+    return rows.join(per_doc, "doc").select("doc", "text", "places").mapInPandas(retain, SUFFIX)
+
+
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of sorted suffixes, those with an equal neighbour, with their run's first
-    suffix and their predecessor. ``edge``: the suffix has the partition's first
-    key or is its last, so its run may go on in another partition."""
-    held = None  # last row so far: its successor is not known yet
+    suffix. ``crowded``: the run has more than two. ``edge``: the suffix has the
+    partition's first key or is among its last, so its run may go on in another
+    partition."""
+    held = None  # last rows so far, all of the last run if it has two at most
+    before = (0, 0, 0)  # rows of that run before them, its first suffix
     first_key = None
+
+    def found(key, doc, pos, more):
+        n = len(key)
+        turn = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        length = np.diff(np.append(turn, n))
+        head_doc, head_pos, size = doc[turn], pos[turn], length.copy()
+        if before[0]:
+            head_doc[0], head_pos[0] = before[1:]
+            size[0] += before[0]
+        keep = 0 if not more else length[-1] if size[-1] <= 2 else 1
+        state = (int(size[-1] - keep), int(head_doc[-1]), int(head_pos[-1]))
+        head_doc, head_pos, size = (np.repeat(x, length) for x in (head_doc, head_pos, size))
+        edge = key == first_key
+        if not more:
+            edge = np.ones(n, dtype=bool)
+        take = np.flatnonzero(((size > 1) | edge)[: n - keep])
+        out = pd.DataFrame({"key": key[take], "doc": doc[take], "pos": pos[take], "head_doc": head_doc[take],
+                            "head_pos": head_pos[take], "crowded": size[take] > 2, "edge": edge[take]})
+        return out, tuple(x[n - keep :] for x in (key, doc, pos)), state
+
     for pdf in batches:
         if not len(pdf):
             continue
+        rows = tuple(pdf[c].to_numpy() for c in ("key", "doc", "pos"))
         if first_key is None:
-            first_key = int(pdf["key"].iloc[0])
-        key, doc, pos = (pdf[c].to_numpy() for c in ("key", "doc", "pos"))
+            first_key = int(rows[0][0])
         if held is not None:
-            key, doc, pos = (np.concatenate([held[c], x]) for c, x in (("key", key), ("doc", doc), ("pos", pos)))
-        n = len(key)
-        new = np.ones(n, dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        head_doc, head_pos = doc[start], pos[start]
-        prev_doc, prev_pos = np.concatenate([doc[:1], doc[:-1]]), np.concatenate([pos[:1], pos[:-1]])
-        is_new = new.copy()
-        if held is not None:  # the held row's run began before this batch
-            own = start == 0
-            head_doc[own], head_pos[own] = held["head_doc"], held["head_pos"]
-            prev_doc[0], prev_pos[0] = held["prev_doc"], held["prev_pos"]
-            is_new[0] = held["new"]
-        repeated = ~is_new
-        repeated[:-1] |= ~new[1:]
-        edge = key == first_key
-        out = slice(0, n - 1)
-        take = np.flatnonzero((repeated | edge)[out])
-        yield pd.DataFrame({
-            "key": key[take], "doc": doc[take], "pos": pos[take], "head_doc": head_doc[take], "head_pos": head_pos[take],
-            "prev_doc": np.where(is_new, doc, prev_doc)[take], "prev_pos": np.where(is_new, pos, prev_pos)[take], "edge": edge[take],
-        })
-        held = {"key": key[-1:], "doc": doc[-1:], "pos": pos[-1:], "head_doc": head_doc[-1], "head_pos": head_pos[-1],
-                "prev_doc": prev_doc[-1], "prev_pos": prev_pos[-1], "new": is_new[-1]}
+            rows = tuple(np.concatenate([h, x]) for h, x in zip(held, rows, strict=True))
+        out, held, before = found(*rows, more=True)
+        yield out
     if held is not None:
-        yield pd.DataFrame({
-            "key": held["key"], "doc": held["doc"], "pos": held["pos"], "head_doc": [held["head_doc"]], "head_pos": [held["head_pos"]],
-            "prev_doc": [held["doc"][0] if held["new"] else held["prev_doc"]], "prev_pos": [held["pos"][0] if held["new"] else held["prev_pos"]], "edge": [True],
-        })
+        yield found(*held, more=False)[0]
 
 
-def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW,
-            context: int = MIN_WORDS - WINDOW + 1) -> DataFrame:
-    """Staged ``doc, other, pos, other_pos``: places of equal suffixes in two
-    documents, ``other`` the earlier one; linear in the suffixes."""
-    kept = stage(suffixes(docs, id_col, text_col, gram, window, context), "suffixes")
+def _members(kept: DataFrame, name: str) -> DataFrame:
+    """``doc, pos``, their run's ``head_doc, head_pos`` and ``crowded`` of suffixes."""
     order = ["key", "doc", "pos"]
-    members = stage(kept.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs, MEMBER), "suffix-runs")
+    members = stage(kept.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs, MEMBER), f"{name}-runs")
     # only a partition's first and last keys can go on elsewhere; their rows know
-    # the first suffix of the run as far as their own partition has it
-    heads = (members.where("edge").groupBy("key").agg(F.min(F.struct(F.col("head_doc").alias("doc"), F.col("head_pos").alias("pos"))).alias("head")))
-    heads = small_side(heads, "edge-heads")
-    moved = members.join(heads, "key", "left")
-    head_doc = F.coalesce("head.doc", "head_doc")
-    head_pos = F.coalesce("head.pos", "head_pos")
-    two = F.array(F.struct(head_doc.alias("other"), head_pos.alias("other_pos")),
-                  F.struct(F.col("prev_doc").alias("other"), F.col("prev_pos").alias("other_pos")))
-    pairs = moved.select("doc", "pos", F.explode(F.array_distinct(two)).alias("m")).select("doc", "pos", "m.*")
-    return stage(pairs.where("other < doc"), "suffix-matches")
+    # the first suffix of the run, and its size, as far as their own partition has it
+    heads = members.where("edge").groupBy("key").agg(
+        F.min(F.struct(F.col("head_doc").alias("doc"), F.col("head_pos").alias("pos"))).alias("head"),
+        (F.max("crowded") | (F.count(F.lit(1)) > 2)).alias("many"))
+    heads = small_side(heads, f"{name}-edge-heads")
+    return members.join(heads, "key", "left").select(
+        "doc", "pos", F.coalesce("head.doc", "head_doc").alias("head_doc"), F.coalesce("head.pos", "head_pos").alias("head_pos"),
+        (F.col("crowded") | F.coalesce("many", F.lit(False))).alias("crowded"))
+
+
+def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW,
+            min_words: int = MIN_WORDS) -> DataFrame:
+    """Staged ``doc, other, shift``: ``doc`` may share a window with ``other``, an
+    earlier document, whose words lie ``shift`` places before; every window of
+    ``doc`` that some earlier document has is in one such pair. Linear in the words."""
+    kept = stage(suffixes(docs, id_col, text_col, gram, window, min_words - window + 1), "suffixes")
+    members = _members(kept, "suffix")
+    crowded = members.where("crowded").select("doc", "pos")
+    whole = _members(stage(windows(docs, crowded, id_col, text_col, gram, window, min_words), "windows"), "window")
+    both = members.where("not crowded").unionByName(whole).where("head_doc < doc")
+    return stage(both.select("doc", F.col("head_doc").alias("other"), (F.col("pos") - F.col("head_pos")).alias("shift")).distinct(), "suffix-matches")
 
 
 def _along(a: np.ndarray, b: np.ndarray, shift: int, least: int) -> list[tuple[int, int]]:
@@ -195,14 +252,14 @@ def _along(a: np.ndarray, b: np.ndarray, shift: int, least: int) -> list[tuple[i
     return list(zip((starts[long] + lo).tolist(), (ends[long] + lo).tolist(), strict=True))
 
 
-def _spans(text: str, other: str, places: list[tuple[int, int]], min_words: int) -> list[tuple[int, int, int, int, int]]:
+def _spans(text: str, other: str, shifts: list[int], min_words: int) -> list[tuple[int, int, int, int, int]]:
     """Verified repeats of ``other`` in ``text``: words, characters, other's word."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)] if not text.isascii() or any(c in text for c in "\x1c\x1d\x1e\x1f") else None
     own, its = text.split(), other.split()
     number: dict[str, int] = {}
     a = np.fromiter((number.setdefault(w, len(number)) for w in own), dtype=np.int64, count=len(own))
     b = np.fromiter((number.setdefault(w, len(number)) for w in its), dtype=np.int64, count=len(its))
-    out = [(x, y, x - d) for d in sorted({p - q for p, q in places}) for x, y in _along(a, b, d, min_words)]
+    out = [(x, y, x - d) for d in sorted(shifts) for x, y in _along(a, b, d, min_words)]
     if not out:
         return []
     if words is None or len(words) != len(own):
@@ -220,8 +277,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     context = min_words - window + 1
     if context < gram or window < 2:
         raise ValueError("min_words must leave at least `gram` words after a window")
-    found = matches(docs, id_col, text_col, gram, window, context)
-    pairs = found.groupBy("doc", "other").agg(F.collect_list(F.struct("pos", "other_pos")).alias("places"))
+    found = matches(docs, id_col, text_col, gram, window, min_words)
+    pairs = found.groupBy("doc", "other").agg(F.collect_list("shift").alias("shifts"))
     pairs = stage(pairs, "suffix-pairs")
     ids = pairs.select("doc").unionByName(pairs.select(F.col("other").alias("doc"))).distinct()
     texts = (docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
@@ -233,13 +290,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                places = [(int(x["pos"]), int(x["other_pos"])) for x in r.places]
-                for s, e, c, d, q in _spans(r.text, r.other_text, places, min_words):
+                for s, e, c, d, q in _spans(r.text, r.other_text, [int(x) for x in r.shifts], min_words):
                     rows.append((r.doc, r.text_hash, s, e, c, d, r.other, q))
             yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "start_word", "end_word", "start_char", "end_char", "match_doc_id", "match_start_word"])
 
     both = pairs.join(others, "other").join(texts, "doc")
-    return both.select("doc", "text", F.xxhash64("text").alias("text_hash"), "other", "other_text", "places").mapInPandas(extend, SPAN)
+    return both.select("doc", "text", F.xxhash64("text").alias("text_hash"), "other", "other_text", "shifts").mapInPandas(extend, SPAN)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
