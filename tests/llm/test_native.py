@@ -111,3 +111,17 @@ def test_text_model_takes_each_text_once_and_few(spark, make_docs):
     few = np.exp(langid.fit(labelled, "text", F.col("lang"), per_language=10)[1])
     total = 0.5 / few[1].min() - 0.5 * langid.BUCKETS  # trigrams that the ten texts gave
     assert 10 * 5 - 1.5 <= total <= 10 * 5 + 0.5
+
+
+def test_texts_in_no_known_language_are_rejected(spark, small_dir):
+    known = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rng = np.random.default_rng(1)
+    noise = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 5)) for _ in range(60))
+    foreign = ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era "
+               "e cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura",
+               "Litwo, Ojczyzno moja! ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej "
+               "ozdobie widzę i opisuję, bo tęsknię po tobie", "Мой дядя самых честных правил, когда не в шутку занемог, он уважать себя заставил", noise]
+    rows = spark.createDataFrame([(-1 - k, t, None, "src0", len(t)) for k, t in enumerate(foreign)], known.schema)
+    out = langid.identify(known.unionByName(rows), "text", F.col("lang"), F.lit(None), F.col("source"))
+    assert out.where("doc_id < 0 and __lid_kept").count() == 0
+    assert out.where("doc_id >= 0 and n_chars > 20").agg(F.avg(F.col("__lid_kept").cast("double"))).first()[0] >= 0.99
