@@ -151,3 +151,25 @@ def test_runs_over_batches():
         assert sorted(out["doc"]) == [d for d, k in zip(rows["doc"], key, strict=True) if n[k] > 1 or k in (key[0], key[-1])]
         assert (out["crowded"] == (out["key"].map(n) > 2)).all() and (out["head_doc"] == out["key"].map(head)).all()
         assert out[out["key"] == key[0]]["edge"].all() and out["edge"].iloc[-1]
+
+
+def test_keep_first_keeps_one_row_of_repeated_heads_and_of_rows_without_ids(spark, make_docs):
+    rng = np.random.default_rng(11)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 1000, 400))
+    head, bare, near, lone = text(), text(), None, text()
+    for k in range(400):  # a text that differs in a few bits at most
+        words = bare.split()
+        words[k] = "other"
+        near = " ".join(words)
+        if 0 < (fingerprint(near, 3) ^ fingerprint(bare, 3)).bit_count() <= 2:
+            break
+    else:
+        raise AssertionError("no near text")
+    rows = [(1, head, "en", "a")] * 3 + [(1, head, "en", "b"), (2, head, "en", "a"), (5, lone, "en", "a")]
+    rows += [(None, bare, "en", "a")] * 4 + [(None, near, "en", "a")] * 2 + [(None, head, "en", "a")]
+    docs = make_docs(rows)
+    got = simhash.keep_first(docs, 3, 2)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    kept = got.collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 5, None]
+    assert {r.text for r in kept if r.doc_id is None} <= {bare, near}

@@ -142,30 +142,35 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str =
 
 
 def components(rows: DataFrame, max_bits: int, bucket: int = BUCKET) -> DataFrame:
-    """``rows`` (staged ``doc_id, fp``) with ``component_id``."""
+    """``rows`` (staged ``doc_id, fp``) with ``component_id`` and ``label``, which
+    tells components without any id apart too."""
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     comps = connected_components(links(distinct.select("fp"), max_bits, bucket))
     labelled = distinct.join(comps.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn(
         "label", F.coalesce("label", "fp"))
     labelled = stage(labelled, "simhash-labels")
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_fp = labelled.join(least, "label").select("fp", "component_id")
+    by_fp = labelled.join(least, "label").select("fp", "component_id", "label")
     return rows.join(by_fp, "fp")
 
 
 def keep_first(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text",
                bucket: int = BUCKET) -> DataFrame:
-    """``docs``' rows whose id is their component's smallest; of rows that share
-    that id, one — and every row without an id, which nothing can single out, if
-    its component has no id at all: then one of them. All columns are returned."""
-    fp, rank = "__fingerprint", "__rank"
+    """One of ``docs``' rows of each component: of those of its smallest id, or of
+    all if it has no id, those of the smallest fingerprint, and of these the row of
+    the smallest hash of all columns. All columns are returned."""
+    fp = "__fingerprint"
     all_rows = with_fingerprint(docs, shingle, text_col, out=fp)
     rows = stage(all_rows.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(fp).alias("fp")), "simhash-rows")
-    found = components(rows, max_bits, bucket)
-    # one kept row per component: its smallest id and that row's smallest fingerprint
-    kept = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("best")).select("best.doc_id", "best.fp"))
+    found = components(rows, max_bits, bucket).groupBy("label", "doc_id", "fp").agg(F.count(F.lit(1)).alias("copies"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("best")
+    kept = found.groupBy("label").agg(best).select(
+        F.col("best.doc_id").alias("__kept_id"), F.col("best.fp").alias("__kept_fp"), F.col("best.copies").alias("__copies"))
     kept = stage(kept, "simhash-kept")
     out = all_rows.withColumn("__id", F.col(id_col).cast("bigint"))
-    cond = out["__id"].eqNullSafe(kept["doc_id"]) & (out[fp] == kept["fp"])
-    return out.join(kept, cond, "left_semi").drop(fp, "__id")
+    out = out.join(kept, out["__id"].eqNullSafe(kept["__kept_id"]) & (out[fp] == kept["__kept_fp"]))
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    # copies collapse before they are dealt out: a grouped minimum, no window
+    one = (out.where("__copies > 1").groupBy("__id", fp)
+           .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__row")).select("__row.*"))
+    return out.where("__copies = 1").select(*names).unionByName(one)
