@@ -21,6 +21,8 @@ from tidyrent.llm.queries import MAX_BITS, MIX_BLOCK_ROWS, MIX_WEIGHTS, PACK_END
 
 #: executors still hold what earlier stages left: the tokenizer remembers fewer pieces
 MEMO_PIECES = 400_000
+#: whole periods of the mix that are packed on their own, so that sequences follow the weights
+SPAN_ROWS = 5 * sum(MIX_WEIGHTS.values()) * MIX_BLOCK_ROWS
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +55,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 ids and their places in packed sequences."""
+    """Pieces of at most 2048 ids and their places in packed sequences, which come
+    in the mixed order, span by span."""
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), PACK_END_ID, memo_pieces=MEMO_PIECES)
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), PACK_END_ID, memo_pieces=MEMO_PIECES, span_rows=SPAN_ROWS)
 
 
 STAGES = [

@@ -29,3 +29,20 @@ def test_small_tables(spark, small_dir):
     assert counts[0] >= 0.95 * docs.where("n_chars > 20").count() and counts[3] == counts[2] <= counts[1] < counts[0] <= n
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
     assert corpus_pipeline.run(spark, small_dir).count() == packed.count()
+
+
+def test_sequences_follow_the_mixing_weights(spark, make_docs):
+    weights = corpus_pipeline.MIX_WEIGHTS
+    rows, rounds = [], 2
+    for k, (source, w) in enumerate(weights.items()):  # a source's lengths are its own
+        for n in range(rounds * 5 * w * corpus_pipeline.MIX_BLOCK_ROWS):
+            rows.append((len(rows), "word " * (20 + 60 * k + n % 40), "en", source))
+    docs = stage(corpus_pipeline.mix_sources(spark, make_docs(rows[::-1]), "unused"), "test-mix")
+    got = corpus_pipeline.pack(spark, docs, "unused").toPandas()
+    source = {i: s for i, _, _, s in rows}
+    assert sorted(got["doc_id"]) == sorted(source)
+    got = got.sort_values(["sequence_id", "offset"])
+    half = got["doc_id"].iloc[: corpus_pipeline.SPAN_ROWS].map(source).value_counts().to_dict()
+    assert half == {s: 5 * w * corpus_pipeline.MIX_BLOCK_ROWS for s, w in weights.items()}
+    assert set(got["sequence_id"].iloc[: corpus_pipeline.SPAN_ROWS]).isdisjoint(got["sequence_id"].iloc[corpus_pipeline.SPAN_ROWS :])
+    assert (got.groupby("sequence_id")["length"].sum() <= 2048).all()

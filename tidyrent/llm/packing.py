@@ -12,6 +12,12 @@ bounded size (counts per chunk, prefix sums over the chunks), and a piece's rank
 says which pattern, sequence and place it takes. No group of equal lengths is
 ever gathered, and no piece is moved by the driver.
 
+With ``span_rows`` the rows' order counts: spans of that many rows, or of the least
+multiple that makes ``MOST_SPANS`` spans at most, are packed each on its own, so a
+span's sequences hold its rows only and come before the next span's; within a span
+pieces of equal length are placed in the rows' order. The order is the one in
+which the table was written (part files by number, rows by their place in them).
+
 Defined results:
 
 * null or empty text: the document is its end id alone;
@@ -28,7 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,6 +45,8 @@ from .tokens import MEMO_PIECES, crc32_u32, encoder
 CAPACITY = 2048
 #: pieces of one length that are ranked in one chunk at most
 CHUNK = 8192
+#: spans that are packed on their own at most: each needs a plan
+MOST_SPANS = 64
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, chunk bigint"
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -50,10 +59,11 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id",
-              text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES) -> DataFrame:
+              text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES, ordered: bool = False) -> DataFrame:
     """One row per piece; ``keep_ids`` adds the piece's ids (little-endian
-    unsigned 32-bit) as binary column ``ids``."""
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "chunk"] + ["ids"] * keep_ids
+    unsigned 32-bit) as binary column ``ids``, ``ordered`` its row's ``part`` and
+    ``row``, by which the table is in order."""
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "chunk"] + ["ids"] * keep_ids + ["part", "row"] * ordered
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -64,19 +74,49 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
             for a in range(0, len(pdf), 256):
                 part, rows = pdf.iloc[a : a + 256], []
                 doc_ids = [None if pd.isna(d) else int(d) for d in part["doc_id"]]
-                for d, ids in zip(doc_ids, enc.encode(part["text"].tolist()), strict=True):
+                places = list(zip(part["part"], part["row"], strict=True)) if ordered else [()] * len(part)
+                for d, ids, place in zip(doc_ids, enc.encode(part["text"].tolist()), places, strict=True):
                     ids = np.concatenate([ids, end])
                     for k, (s, n) in enumerate(cut(len(ids), capacity)):
                         own = ids[s : s + n]
                         rows.append((d, k, s, n, crc32_u32(own), chunk + made // CHUNK)
-                                    + ((own.astype("<u4").tobytes(),) if keep_ids else ()))
+                                    + ((own.astype("<u4").tobytes(),) if keep_ids else ()) + place)
                         made += 1
                 out = pd.DataFrame(rows, columns=columns)
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return rows.mapInPandas(tokenise, PIECES + ", ids binary" * keep_ids)
+    own = [F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")]
+    rows = docs.select(*own, *(_order(docs) if ordered else ()))
+    return rows.mapInPandas(tokenise, PIECES + ", ids binary" * keep_ids + ", part string, row bigint" * ordered)
+
+
+def _order(docs: DataFrame) -> list[Column]:
+    """``part`` and ``row``: a row's place in the written table, or in the
+    partitions of one that is not read from files."""
+    at = F.monotonically_increasing_id()
+    number, name, row = F.shiftright(at, 33), F.lit(""), at.bitwiseAND(F.lit((1 << 33) - 1))
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta["row_index"]).schema  # noqa: B018 - analysed here
+    except AnalysisException:
+        pass
+    else:  # splits of files are read in any order
+        name, row = meta["file_name"], meta["row_index"]
+        number = F.coalesce(F.regexp_extract(name, r"^part-([0-9]+)", 1).try_cast("bigint"), F.lit(0))
+    return [F.concat(F.lpad(number.cast("string"), 20, "0"), name).alias("part"), row.cast("bigint").alias("row")]
+
+
+def in_spans(pieces: DataFrame, span_rows: int) -> DataFrame:
+    """Staged pieces with ``span`` and their row's number ``at`` for ``part`` and ``row``."""
+    files = sorted(tuple(r) for r in pieces.groupBy("part").agg(F.max("row") + 1).collect())  # one row per file
+    total = sum(n for _, n in files)
+    span = span_rows * max(1, -(-total // (span_rows * MOST_SPANS)))
+    bases = [(part, int(n)) for (part, _), n in zip(files, np.cumsum([0, *[n for _, n in files]]), strict=False)]
+    bases = pieces.sparkSession.createDataFrame(bases, "part string, base bigint")
+    out = pieces.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("row"))
+    # chunks in the rows' order: a span's lengths are ranked over few rows each
+    return out.withColumns({"span": F.floor(F.col("at") / span), "chunk": F.floor(F.col("at") / 1024)}).drop("part", "row", "base")
 
 
 def _fill(counts: np.ndarray, capacity: int, small_first: bool, partners: int = 3) -> list[tuple[Pattern, int]]:
@@ -173,44 +213,52 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern
     return min(plans, key=lambda p: sum(n for _, n in p))
 
 
-def _ranges(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
-    """For each length, runs of ranks: first rank, first sequence, sequences,
-    offset of the pattern's first piece of this length."""
-    used: dict[int, int] = {}
+def _ranges(plans: dict[int, list[tuple[Pattern, int]]], capacity: int) -> dict[str, np.ndarray]:
+    """For each span and length, ``key``, runs of ranks: first rank, first sequence,
+    sequences, offset of the pattern's first piece of this length."""
     rows, base = [], 0
-    for pattern, n in patterns:
-        offset = 0
-        for x, m in pattern:
-            rows.append((x, used.get(x, 0), base, n, offset))
-            used[x] = used.get(x, 0) + n * m
-            offset += x * m
-        base += n
+    for span, patterns in sorted(plans.items()):
+        used: dict[int, int] = {}
+        for pattern, n in patterns:
+            offset = 0
+            for x, m in pattern:
+                rows.append((span * (capacity + 1) + x, used.get(x, 0), base, n, offset))
+                used[x] = used.get(x, 0) + n * m
+                offset += x * m
+            base += n
     rows.sort()
     cols = np.array(rows, dtype=np.int64).reshape(-1, 5).T
-    return dict(zip(("length", "first", "base", "n", "offset"), cols, strict=True))
+    return dict(zip(("key", "first", "base", "n", "offset"), cols, strict=True))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (staged: it is read more than once; columns of ``PIECES``)
-    with ``sequence_id`` and ``offset``; ``chunk`` is dropped."""
-    per_chunk = pieces.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    """``pieces`` (staged: it is read more than once; columns of ``PIECES``, and
+    ``span`` and ``at`` if the order counts) with ``sequence_id`` and ``offset``;
+    the working columns are dropped."""
+    kept = [c for c in pieces.columns if c not in ("chunk", "span", "at")]
+    types = {f.name: f.dataType.simpleString() for f in pieces.schema}
+    if "span" not in pieces.columns:
+        pieces = pieces.withColumns({"span": F.lit(0).cast("bigint"), "at": F.lit(0).cast("bigint")})
+    per_chunk = pieces.groupBy("span", "length", "chunk").agg(F.count(F.lit(1)).alias("n"))
     per_chunk = stage(per_chunk, "pack-chunks")
-    histogram = per_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
-    ranges = _ranges(plan({r["length"]: r["n"] for r in histogram}, capacity))
-    before = Window.partitionBy("length").orderBy("chunk")
-    first = per_chunk.select("length", "chunk", (F.sum("n").over(before) - F.col("n")).alias("first_rank"))
-    within = Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(first, ["length", "chunk"])
+    histogram = per_chunk.groupBy("span", "length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows a span
+    counts: dict[int, dict[int, int]] = {}
+    for r in histogram:
+        counts.setdefault(r["span"], {})[r["length"]] = r["n"]
+    ranges = _ranges({span: plan(own, capacity) for span, own in counts.items()}, capacity)
+    before = Window.partitionBy("span", "length").orderBy("chunk")
+    first = per_chunk.select("span", "length", "chunk", (F.sum("n").over(before) - F.col("n")).alias("first_rank"))
+    within = Window.partitionBy("span", "length", "chunk").orderBy("at", "doc_id", "piece", "ids_crc32")
+    ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(first, ["span", "length", "chunk"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("first_rank")).drop("first_rank", "chunk")
-    kept = [c for c in pieces.columns if c != "chunk"]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lengths, starts = np.unique(ranges["length"], return_index=True)
-        ends = np.append(starts[1:], len(ranges["length"]))
+        keys, starts = np.unique(ranges["key"], return_index=True)
+        ends = np.append(starts[1:], len(ranges["key"]))
         for pdf in batches:
             x, rank = pdf["length"].to_numpy(np.int64), pdf["rank"].to_numpy(np.int64)
             at = np.empty(len(pdf), dtype=np.int64)
-            own = np.searchsorted(lengths, x)
+            own = np.searchsorted(keys, pdf["span"].to_numpy(np.int64) * (capacity + 1) + x)
             for k in np.unique(own):
                 rows = own == k
                 at[rows] = starts[k] + np.searchsorted(ranges["first"][starts[k] : ends[k]], rank[rows], side="right") - 1
@@ -220,14 +268,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             out["offset"] = ranges["offset"][at] + step // ranges["n"][at] * x
             yield out
 
-    types = {f.name: f.dataType.simpleString() for f in pieces.schema}
     schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", sequence_id bigint, offset bigint"
-    return ranked.select(*kept, "rank").mapInPandas(place, schema)
+    return ranked.select(*kept, "span", "rank").mapInPandas(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id",
-                   text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES) -> DataFrame:
+                   text_col: str = "text", keep_ids: bool = False, memo_pieces: int = MEMO_PIECES,
+                   span_rows: int | None = None) -> DataFrame:
     """Tokenises, cuts and packs ``docs``; see the module's text. ``memo_pieces``
     bounds a worker's memory, not the results."""
-    pieces = stage(pieces_of(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids, memo_pieces), "pack-pieces")
-    return pack(pieces, capacity)
+    pieces = pieces_of(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids, memo_pieces, span_rows is not None)
+    pieces = stage(pieces, "pack-pieces")
+    return pack(pieces if span_rows is None else in_spans(pieces, span_rows), capacity)
