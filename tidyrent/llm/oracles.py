@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import urls
-from .queries import COSINE, MIX_BLOCK_ROWS, MIX_WEIGHTS, SCALE, TOP_K, URL_RULES
+from . import quality_rules, urls
+from .queries import CENTROID_DIMS, CENTROID_ROUNDS, CENTROID_SEED, CENTROIDS, COSINE, MIX_BLOCK_ROWS, MIX_WEIGHTS, SCALE, TOP_K, URL_RULES
 
 FINE = "{v} IS NOT NULL AND len([x FOR x IN {v} IF x IS NULL OR NOT isfinite(x)]) = 0"
 
@@ -105,4 +105,57 @@ FROM shaped LEFT JOIN f USING (page_id) JOIN {last} z ON shaped.host = z.host AN
 JOIN pure ON z.host = pure.host AND z.template = pure.template"""
 
 
-ORACLES = {"op2_pfair_mix": op2(), "op3_exact_topk": OP3, "op7_chat": OP7, "op8_cover_tree": OP8, "op9_url_filter": op9()}
+def op11() -> str:
+    stops = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+    fails = {}
+    for name, count, per, low, high, base in quality_rules.TABLE:
+        share = [f"{count} < cast({low} AS DECIMAL(9, 3)) * {per or 1}" if low else "", f"{count} > cast({high} AS DECIMAL(9, 3)) * {per or 1}" if high else ""]
+        fails[name] = (" OR ".join(x for x in share if x), base)
+    base = " OR ".join(f"({f})" for f, b in fails.values() if b)
+    named = ", ".join(f"CASE WHEN {f} THEN '{n}' END" for n, (f, _) in fails.items())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+grams AS (SELECT rid, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM s)),
+again AS (SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+gaps AS (SELECT rid, least(5, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 5)) AS n FROM again),
+cover AS (SELECT rid, sum(n) AS n FROM gaps GROUP BY rid),
+c AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             length(regexp_replace(t, '[^!?]', '', 'g')) AS n_exclamations, len(list_filter(w, lambda x: regexp_matches(x, '\\pL'))) AS n_letter_words,
+             len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) AS n_capital_words,
+             len(list_filter(w, lambda x: rtrim(lower(x), '{quality_rules.MARKS}') IN ({stops}))) AS n_stop_words,
+             len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+             len(list_filter(l, lambda x: regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*•]'))) AS n_bullet_lines,
+             len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$'))) AS n_ellipsis_lines,
+             cast(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+      FROM s LEFT JOIN cover USING (rid)),
+v AS (SELECT *, {base} AS base_failed, list_filter([{named}], lambda x: x IS NOT NULL) AS failing FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, len(failing) = 0 AS kept, n_stop_words,
+       array_to_string(failing, ', ') AS failed
+FROM v"""
+
+
+def op13() -> str:
+    least = """(SELECT r, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'j': j}}) AS a
+       FROM v, c{n} GROUP BY r)"""
+    steps = []
+    for n in range(1, CENTROID_ROUNDS + 1):
+        steps.append(f"""
+a{n} AS (SELECT r, a.j AS j FROM {least.format(n=n - 1)}),
+c{n} AS (SELECT c{n - 1}.j, coalesce(m.c, c{n - 1}.c) AS c FROM c{n - 1} LEFT JOIN (
+    SELECT j, list(m ORDER BY i) AS c FROM (SELECT j, i, cast(floor(sum(x[i])::DOUBLE / count(*)) AS BIGINT) AS m
+    FROM a{n} JOIN v USING (r), range(1, {CENTROID_DIMS + 1}) AS g(i) GROUP BY j, i) GROUP BY j) m ON c{n - 1}.j = m.j)""")
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: cast(floor({SCALE} * cast(e AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings WHERE len(embedding) = {CENTROID_DIMS} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('{CENTROID_SEED}:' || vec_id), x) - 1 AS j, x AS c FROM v WHERE vec_id IS NOT NULL
+       QUALIFY j < {CENTROIDS}),{",".join(steps)},
+z AS (SELECT r, a.j AS j, a.d AS d FROM {least.format(n=CENTROID_ROUNDS)})
+SELECT vec_id, cast(j AS INTEGER) AS cluster, d AS distance, cast(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+       cast(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM z JOIN v USING (r) JOIN c{CENTROID_ROUNDS} USING (j)"""
+
+
+ORACLES = {"op2_pfair_mix": op2(), "op3_exact_topk": OP3, "op7_chat": OP7, "op8_cover_tree": OP8, "op9_url_filter": op9(),
+           "op11_quality_rules": op11(), "op13_centroids": op13()}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cover_tree, langid, mixing, packing, simhash, suffix_dedup, token_output, topk, urls
+from . import centroids, chat, cover_tree, langid, mixing, packing, quality_rules, simhash, suffix_dedup, token_output, topk, urls, whitening
 from .common import scratch, stage, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +22,13 @@ MAX_BITS = 2
 TOP_K = 5
 SCALE = 256.0
 COSINE = 0.93
+WHITE_COMPONENTS = 32
+WHITE_SCALE = 64.0
+WHITE_SHIFT = 1_000_000
+CENTROIDS = 40
+CENTROID_ROUNDS = 5
+CENTROID_DIMS = 64
+CENTROID_SEED = 2
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -102,6 +109,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start_word", "end_word", "start_char", "end_char", "match_doc_id", "match_start_word")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_stop_words",
+                      F.array_join("failed", ", ").alias("failed"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), WHITE_COMPONENTS, WHITE_SCALE, WHITE_SHIFT)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed, last = centroids.cluster(table(spark, sf_dir, "embeddings"), CENTROIDS, CENTROID_ROUNDS, SCALE, CENTROID_DIMS, CENTROID_SEED)
+    return centroids.with_totals(routed, last)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,5 +132,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_output, op2_pfair_mix, op3_exact_topk, op4_pack, op5_language_id, op6_simhash,
-                            op7_chat, op8_cover_tree, op9_url_filter, op10_suffix_dedup, pipeline)
+                            op7_chat, op8_cover_tree, op9_url_filter, op10_suffix_dedup, op11_quality_rules,
+                            op12_whitening, op13_centroids, pipeline)
 }
