@@ -3,12 +3,16 @@ cluster members take the cluster mean, then two keep-first passes.
 
 * identical feature tuples are pre-aggregated into one weighted point (a group
   of a million copies is one point, never a million rows in a join);
-* neighbour search is an equi-join: integer-valued features whose scaled step
-  exceeds ``eps`` must be equal for two points to be within ``eps``, so they are
-  join keys; the other features get cells of side ``2·eps``, where a point's
-  neighbours lie in its own cell or the one next to it on its nearer side — 2
-  probes per feature, then an exact Euclidean filter;
-* clusters are connected components of core points, found with the alternating
+* integer-valued features whose scaled step exceeds ``eps`` must be equal for two
+  points to be within ``eps``: they are keys; the other features get grid cells of
+  diagonal ``eps``, so the points of one cell are within ``eps`` of each other. A
+  cell of ``min_samples`` weight is all core and one node of the graph, whatever
+  it holds; only the few points of lighter cells are counted one by one, up to
+  ``min_samples`` (``near.enough_near``);
+* core cells link by their closest pair of points, which bounding boxes decide or
+  open level by level (``near.touching``); what is written is one row per pair of
+  cells, never pairs of points;
+* clusters are connected components of core cells, found with the alternating
   large-star / small-star edge rewrites (Kiveris et al., "Connected Components
   in MapReduce and Beyond", 2014): O(log n) rounds of joins and grouped
   minimums instead of one round per hop of the longest chain; each round's
@@ -20,13 +24,15 @@ cluster members take the cluster mean, then two keep-first passes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_table
 from .dedupe import keep_first
+from .near import DIRECT_PAIRS, enough_near, grid_reach, probes, touching
 from .stats import minmax_scale
 
 # --- fixed values: clustering settings of the source ---
@@ -94,38 +100,53 @@ def _split_dims(df: DataFrame, cols: Sequence[str], eps: float) -> tuple[list[st
 
 
 def cluster_labels(df: DataFrame, cols: Sequence[str] = FEATURES, eps: float = EPS,
-                   min_samples: int = MIN_SAMPLES, id_col: str = "row_id") -> DataFrame:
+                   min_samples: int = MIN_SAMPLES, id_col: str = "row_id", direct: int = DIRECT_PAIRS) -> DataFrame:
     """``(row_id, cluster)`` for rows with every feature present; -1 = noise."""
     cols = list(cols)
     d = df.dropna(subset=cols).select(id_col, *cols)
     eq, grid = _split_dims(d, cols, eps)
     scaled = minmax_scale(d, cols)
     s = [f"{c}_s" for c in cols]
-    pts = cut_lineage(scaled.groupBy(*s).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid")))
-    side = 2.0 * eps
-    keyed = pts.withColumns({f"g_{c}": F.floor(F.col(f"{c}_s") / F.lit(side)).cast("bigint") for c in grid})
-    probe = keyed
-    for c in grid:
-        frac = F.col(f"{c}_s") / F.lit(side) - F.col(f"g_{c}")
-        other = F.when(frac < 0.5, F.col(f"g_{c}") - 1).otherwise(F.col(f"g_{c}") + 1)
-        probe = probe.withColumn(f"g_{c}", F.explode(F.array(F.col(f"g_{c}"), other)))
-    join_keys = [f"{c}_s" for c in eq] + [f"g_{c}" for c in grid]
-    left = probe.select("pid", *join_keys, *[F.col(f"{c}_s").alias(f"a_{c}") for c in grid])
-    right = keyed.select(F.col("pid").alias("qid"), "w", *join_keys,
-                         *[F.col(f"{c}_s").alias(f"b_{c}") for c in grid])
-    dist2 = sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) ** 2 for c in grid), F.lit(0.0))
-    edges = cut_lineage(left.join(right, join_keys).where(dist2 <= F.lit(eps * eps)).select("pid", "qid", "w"))
-    core = edges.groupBy("pid").agg(F.sum("w").alias("n")).where(F.col("n") >= min_samples).select("pid")
-    core_edges = (edges.join(core, "pid", "left_semi")
-                  .join(core.withColumnRenamed("pid", "qid"), "qid", "left_semi").select("pid", "qid"))
-    comp = connected_components(core_edges.where(F.col("pid") != F.col("qid"))
-                                .select(F.col("pid").alias("a"), F.col("qid").alias("b")))
-    labels = cut_lineage(core.join(comp.withColumnRenamed("node", "pid"), "pid", "left")
-                         .select("pid", F.coalesce("label", "pid").alias("label")))
-    border = (edges.join(core, "pid", "left_anti")
-              .join(labels.select(F.col("pid").alias("qid"), "label"), "qid")
-              .groupBy("pid").agg(F.min("label").alias("label")))
-    point_label = labels.unionByName(border)
+    side = eps / math.sqrt(max(len(grid), 1))  # any two points of one cell are within eps
+    dims = [f"{c}_s" for c in grid]
+    keys = [f"{c}_s" for c in eq]
+    at = {f"i_{c}": F.floor(F.col(c) / F.lit(side)).cast("bigint") for c in dims}
+    pts = scaled.groupBy(*s).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid")).withColumns(at)
+    cell = [*keys, *at]
+    # a cell of min_samples weight is all core, and one node
+    heavy = pts.groupBy(*cell).agg(F.sum("w").alias("cw"))
+    pts = stage_table(pts.join(heavy, cell).withColumn("heavy", F.col("cw") >= min_samples).drop("cw"))
+    light = pts.where("not heavy").withColumnRenamed("pid", "qid")
+    core_light = cut_lineage(enough_near(light.select("qid", *keys, *dims), pts.select(*keys, *dims, "w"), dims, keys, eps, min_samples))
+    core = pts.where("heavy").unionByName(pts.where("not heavy").join(core_light.withColumnRenamed("qid", "pid"), "pid", "left_semi").select(*pts.columns))
+    nodes = core.groupBy(*cell).agg(F.min("pid").alias("cell"))
+    core = stage_table(core.join(nodes, cell).select(*cell, *dims, "pid", "cell"))
+    nodes = core.select("cell", *cell).distinct()
+    border = light.join(core_light, "qid", "left_anti").select(F.col("qid").alias("cell"), *cell, *dims)
+
+    reach = grid_reach(len(dims))
+    coarse = [f"k_{c}" for c in dims]
+    placed = nodes.select(F.col("cell").alias("b"), *keys, *[F.floor(F.col(f"i_{c}") / F.lit(2 * reach)).cast("bigint").alias(f"k_{c}") for c in dims],
+                          *[F.col(f"i_{c}").alias(f"j_{c}") for c in dims])
+
+    def meeting(cells: DataFrame) -> DataFrame:
+        """Pairs of cells that the grid does not keep apart."""
+        probe = probes(cells.select(F.col("cell").alias("a"), *cell), dims, {c: F.col(f"i_{c}") for c in dims}, reach, "k_")
+        both = probe.join(placed, [*keys, *coarse])
+        for c in dims:
+            both = both.where(F.abs(F.col(f"i_{c}") - F.col(f"j_{c}")) <= reach)
+        return both.select("a", "b")
+
+    points = core.select("cell", *dims)
+    links = touching(cut_lineage(meeting(nodes).where(F.col("a") < F.col("b"))), points, points, dims, side, eps, direct)
+    comp = connected_components(links)
+    labels = cut_lineage(nodes.select("cell").join(comp.withColumnRenamed("node", "cell"), "cell", "left")
+                         .select("cell", F.coalesce("label", "cell").alias("label")))
+    by_point = core.select("pid", "cell").join(labels, "cell").select("pid", "label")
+    met = touching(cut_lineage(meeting(border)), border.select("cell", *dims), points, dims, side, eps, direct)
+    at_border = (met.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
+                 .select(F.col("a").alias("pid"), "label"))
+    point_label = by_point.unionByName(at_border)
     rows = scaled.join(pts.select(*s, "pid"), s).select(id_col, "pid")
     return (rows.join(point_label, "pid", "left")
             .select(id_col, F.coalesce(F.col("label"), F.lit(-1)).cast("bigint").alias("cluster")))

@@ -88,3 +88,18 @@ def with_tables(body: str, upto: str = "T") -> str:
     if upto == "T":
         parts.append(f"T AS ({normalised_sql('F')})")
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def noise_sql(chord: float, legacy: bool, min_samples: int = 5, name: str = "X") -> str:
+    """CTEs ``X_p`` (distinct coordinates of ``T`` on the unit sphere) to ``X``
+    (noise coordinates): pairs by brute force; points farther apart in z than the
+    chord are farther apart at all."""
+    la, lo = ("latitud", "longitud") if legacy else ("radians(latitud)", "radians(longitud)")
+    near = f"""q.z BETWEEN p.z - {chord!r} AND p.z + {chord!r}
+        AND pow(p.x - q.x, 2) + pow(p.y - q.y, 2) + pow(p.z - q.z, 2) <= {chord * chord!r}"""
+    return f"""{name}_p AS (SELECT latitud, longitud, count(*) AS w, cos({la}) * cos({lo}) AS x, cos({la}) * sin({lo}) AS y, sin({la}) AS z
+       FROM T WHERE latitud IS NOT NULL AND longitud IS NOT NULL GROUP BY latitud, longitud),
+{name}_c AS (SELECT p.latitud, p.longitud, any_value(p.x) AS x, any_value(p.y) AS y, any_value(p.z) AS z, sum(q.w) >= {min_samples} AS core
+       FROM {name}_p p JOIN {name}_p q ON {near} GROUP BY p.latitud, p.longitud),
+{name} AS (SELECT latitud, longitud FROM {name}_c p WHERE NOT core
+       AND NOT EXISTS (SELECT 1 FROM (SELECT * FROM {name}_c WHERE core) q WHERE {near}))"""
