@@ -25,7 +25,8 @@ def district_median_price_m2(df: DataFrame, key: str = "distrito") -> DataFrame:
     d = with_price_m2(df)
     counts = d.groupBy(key).agg(F.count(F.lit(1)).alias("n_listings"))
     med = grouped_median(d, [key], "precioxm2", "median_precioxm2")
-    return counts.join(broadcast_if_small(med), on=key, how="left")
+    med = broadcast_if_small(med.withColumnRenamed(key, "_key"))
+    return counts.join(med, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
