@@ -9,14 +9,15 @@ from ..functions import numeric as N
 from ..functions import text as T
 from ..operators import binning as B
 from ..operators import impute as I
+from ..operators import quality as Q
 from ..operators import stats as S
 from ..operators.sampling import contiguous_folds
 from ..operators.wrangle import fill_candidates
-from ..session import read_table
+from ..session import read_table, stage
 from . import oracle as O
 from .catalog import register, typed, typed_stage
 from .queries_wrangle import CANDIDATES_SQL
-from .rules import REJECT_RULES
+from .rules import CRITICAL, REJECT_RULES
 
 T_COLS = ["row_id", "descripcion", "fecha_publicacion", "antiguedad", "precio", "latitud", "longitud",
           "dormitorios", "banos", "area", "distrito"]
@@ -225,6 +226,50 @@ def q_price_m2_formula(spark, sf_dir):
     return t.join(f, "row_id")
 
 
+def _quality_sql() -> str:
+    from . import queries_wrangle as QW
+    from .pipeline import PARSED
+
+    def row(check: str, value: str, threshold: str = "NULL", passed: str = "true") -> str:
+        return f"SELECT '{check}' AS check, {value} AS value, {threshold}::DOUBLE AS threshold, {passed} AS passed"
+
+    rows = [row(f"parse_nulls_{c}", f"(SELECT count(*) FROM F WHERE {c} IS NULL)::DOUBLE") for c in PARSED]
+    sale = "(SELECT round(median_sale / NULLIF(median_rent, 0), 0) FROM SR)"
+    rows.append(row("sale_rent_ratio", sale, "20", f"coalesce({sale} >= 20, false)"))
+    for c in QW.W.FILL_TOLERANCES:
+        rate = f"(SELECT match_rate FROM MR WHERE variable = '{c}')"
+        rows.append(row(f"match_rate_{c}", _round_dec(rate, 8), "0.7", f"coalesce({rate} >= 0.7, false)"))
+        rows.append(row(f"nulls_filled_{c}", f"((SELECT count(*) FROM T WHERE {c} IS NULL) - (SELECT count(*) FROM FT WHERE {c} IS NULL))::DOUBLE"))
+    share = "(SELECT count(*) FILTER (WHERE " + " OR ".join(f"{c} IS NULL" for c in CRITICAL) + ")::DOUBLE / count(*) FROM T)"
+    rows.append(row("critical_null_share", _round_dec(share, 8), "0.1", f"{share} <= 0.1"))
+    ratio = "(SELECT (avg(ratio) + median(ratio)) / 2 FROM R)"
+    rows.append(row("price_ratio", _round_dec(ratio, 8), "2", f"coalesce({ratio} >= 2, false)"))
+    matches = " UNION ALL ".join(QW._tolerance_sql(c, t) for c, t in QW.W.FILL_TOLERANCES.items())
+    return O.with_tables(f""", FL AS ({QW.FLAGS_SQL}), V AS ({QW.VERDICTS_SQL}),
+PR AS (SELECT CASE WHEN coalesce(V.propuesta = 'alquiler', false) THEN 'rent' ELSE 'sale' END AS grp, T.precio
+      FROM V JOIN T USING (row_id) WHERE V.propiedad = 'departamento'),
+SR AS (SELECT median(precio) FILTER (WHERE grp = 'sale') AS median_sale,
+             median(precio) FILTER (WHERE grp = 'rent') AS median_rent FROM PR),
+{CANDIDATES_SQL}, {QW._FILLED_SQL}, MR AS ({matches}){_RATIO_SQL}
+""" + " UNION ALL ".join(rows))
+
+
+@register("quality_table", _quality_sql())
+def q_quality_table(spark, sf_dir):
+    """Q1–Q6, Q8: the checks of the job's stages, each on all typed listings. Null
+    counts, dropped and filled rows are seen by the passes that make the data."""
+    from . import format as fmt
+    from . import pipeline as P
+    from .catalog import raw
+    report, cfg = Q.QualityReport(), P.Config()
+    t = stage(fmt.normalise_prices(P.formatted_stage(raw(spark, sf_dir), report)))
+    P.sale_rent_check(t, report)
+    P.fill_attributes(t, cfg, report)
+    P.drop_critical_nulls(t, report)
+    P.price_ratio_check(t, report)
+    return report.to_df(spark).withColumn("value", F.round("value", 8))
+
+
 @register("clean_pipeline")
 def q_clean_pipeline(spark, sf_dir):
     """The whole job (stage 1 → 2 → 3) on the raw listings: the cleaned table."""
