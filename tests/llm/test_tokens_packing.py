@@ -19,11 +19,23 @@ def whole(text):
 
 
 @pytest.mark.parametrize("text", ["", " ", "  ", "a  b", "a \n b", "\n\n a", "x\t y", "it's 's  12 ab", " lead", "trail ", "a\u3000b \u3000 c", "<|endoftext|> a",
-                                  "\u00e9  \u00e8\r\n  z", "\x1c a", "ß, ö. \u03a9 \u6f22\u5b57. x' ok ,. . , \u2167, \u00b2", "cats, dogs. Cats"])
+                                  "\u00e9  \u00e8\r\n  z", "\x1c a", "ß, ö. \u03a9 \u6f22\u5b57. x' ok ,. . , \u2167, \u00b2", "cats, dogs. Cats", "re.\nErtion a\nb,\nc", "\u0120abc x\u010a \u0120 \u010a", "a### b###\nc!! d\n\ne f.\n g\n",
+                                  "don't. ö.\nä¹ a-b x² a.\n's ` ~a it_s (b) c)\nd"])
 def test_pieces_encode_like_whole_texts(text):
     assert list(PieceEncoder(PATH).encode([text])[0]) == whole(text)
 
 
+def test_many_texts_at_once():
+    rng = np.random.default_rng(0)
+    chars = list("abeö.,\n' #!1²Ġ") + ["the", " the", " of", "\n"]
+    texts = ["".join(rng.choice(chars, rng.integers(0, 60))) for _ in range(400)]
+    own = PieceEncoder(PATH, 100)
+    one = Tokenizer.from_file(PATH)
+    for a in range(0, 400, 50):
+        for text, ids in zip(texts[a : a + 50], own.encode(texts[a : a + 50]), strict=True):
+            assert list(ids) == one.encode(text, add_special_tokens=False).ids, text
+
+
 def test_ids_do_not_depend_on_the_memo():
     small = PieceEncoder(PATH, 3)
     for text in ["one two three four five", "one two", "six, seven one", "", "five four"]:

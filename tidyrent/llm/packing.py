@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stage
-from .tokens import MEMO_PIECES, crc32_u32, encoder
+from .tokens import MEMO_PIECES, TEXTS_AT_ONCE, crc32_u32, encoder
 
 CAPACITY = 2048
 #: pieces of one length that are ranked in one chunk at most
@@ -71,8 +71,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
         enc, end = encoder(tokenizer, memo_pieces), np.array([end_id], dtype=np.uint32)
         chunk, made = TaskContext.get().partitionId() << 32, 0
         for pdf in batches:
-            for a in range(0, len(pdf), 256):
-                part, rows = pdf.iloc[a : a + 256], []
+            for a in range(0, len(pdf), TEXTS_AT_ONCE):
+                part, rows = pdf.iloc[a : a + TEXTS_AT_ONCE], []
                 doc_ids = [None if pd.isna(d) else int(d) for d in part["doc_id"]]
                 places = list(zip(part["part"], part["row"], strict=True)) if ordered else [()] * len(part)
                 for d, ids, place in zip(doc_ids, enc.encode(part["text"].tolist()), places, strict=True):

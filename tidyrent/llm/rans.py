@@ -29,7 +29,9 @@ class Corrupt(ValueError):
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(symbols, frequencies)``: the ids that occur and their shares of
     ``2**SCALE_BITS``, at least 1 each; empty for no ids."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     if not len(symbols):
         return symbols.astype(np.uint32), np.zeros(0, dtype=np.uint32)
     if len(symbols) > 1 << SCALE_BITS:
@@ -54,6 +56,14 @@ class Table:
         self.freq = freqs.astype(np.uint64)
         self.cum = np.cumsum(self.freq) - self.freq
         self._slots: np.ndarray | None = None
+        self._place: np.ndarray | None = None
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Each id's place in the table."""
+        if self._place is None:
+            self._place = np.zeros(int(self.symbols[-1]) + 1 if len(self.symbols) else 0, dtype=np.int32)
+            self._place[self.symbols] = np.arange(len(self.symbols))
+        return self._place[ids]
 
     @property
     def slots(self) -> np.ndarray:
@@ -72,7 +82,7 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int, span: int) -> dict:
     of one block of ids, every one of which is in ``table``."""
     n = len(ids)
     steps = -(-n // lanes)
-    where = np.searchsorted(table.symbols, ids)
+    where = table.places(ids)
     freq, cum = table.freq[where], table.cum[where]
     limit = freq << _LIMIT
     x = np.full(lanes, LOW, dtype=np.uint64)

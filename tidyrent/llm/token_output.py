@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from . import rans
 from .common import small_side
-from .tokens import crc32_u32, encoder
+from .tokens import TEXTS_AT_ONCE, crc32_u32, encoder
 
 BLOCK = ("struct<doc_ids:array<bigint>,sizes:array<bigint>,n:bigint,lanes:int,span:int,words:binary,"
          "at:array<bigint>,states:array<binary>,crc:array<bigint>>")
@@ -83,8 +83,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
             return pd.DataFrame([row])[["shard", "segment", "n_tokens", "symbols", "freqs", "blocks"]]
 
         for pdf in batches:
-            for a in range(0, len(pdf), 256):
-                part = pdf.iloc[a : a + 256]
+            for a in range(0, len(pdf), TEXTS_AT_ONCE):
+                part = pdf.iloc[a : a + TEXTS_AT_ONCE]
                 ids_of = [None if pd.isna(d) else int(d) for d in part["doc_id"]]
                 for d, ids in zip(ids_of, enc.encode(part["text"].tolist()), strict=True):
                     docs_now.append((d, np.concatenate([ids, end])))

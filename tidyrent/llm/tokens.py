@@ -14,10 +14,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+#: texts that a task encodes at once
+TEXTS_AT_ONCE = 2048
 #: bounds of a worker's memo: distinct pieces (about 250 bytes each), and ids for each
 MEMO_PIECES = 1_200_000
 IDS_PER_PIECE = 10
@@ -28,6 +32,8 @@ _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _SPACE_CHAR = _BYTE_CHARS[32]
+# (an apostrophe can open a contraction, which is a piece of its own)
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _LOADED: dict[tuple[str, int], PieceEncoder] = {}
 
 
@@ -41,7 +47,8 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.mark = {c: self.model.token_to_id(c) for c in ".,"}
+        self.line = self._model(_BYTE_CHARS[10])
+        self.tails: dict[str, list[int]] = {}
         self.memo_pieces = memo_pieces
         self.clear()
 
@@ -57,22 +64,47 @@ class PieceEncoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, word: str) -> list[int]:
-        """Ids of " " + letters, which is one piece: straight to the BPE model."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return [t.id for t in self.model.tokenize(_SPACE_CHAR + word)]
+    def _model(self, chars: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(chars)]
+
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of one of the pieces the pattern cuts texts into: straight to the BPE
+        model."""
+        if piece.isascii() and piece[0] != " ":
+            return self._model(piece)
+        return self._model(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
+
+    def _parts(self, word: str) -> list[int] | None:
+        """Ids of " " + ``word`` if it is letters, and after them a run of ASCII
+        punctuation if any, once or more often with single line feeds between:
+        there the pattern's pieces are plain. None for other words."""
+        out: list[int] = []
+        for k, part in enumerate(word.split("\n")):
+            letters = part.rstrip(_PUNCTUATION)
+            if not letters.isalpha():
+                return None
+            if k:
+                out += self.line
+                out += self._piece(letters)
+            else:
+                known = self.index.get(letters) if len(letters) < len(word) else None
+                if known is None:
+                    out += self._model(_SPACE_CHAR + letters) if letters.isascii() else self._piece(" " + letters)
+                else:
+                    at = self.start[known]
+                    out += self.flat[at : at + self.size[known]].tolist()
+            if len(letters) < len(part):
+                tail = part[len(letters) :]
+                if tail not in self.tails:
+                    if len(self.tails) > 4096:
+                        self.tails.clear()
+                    self.tails[tail] = self._piece(tail)
+                out += self.tails[tail]
+        return out
 
     def _ids(self, new: list[str]) -> list[list[int]]:
-        coded: list = [None] * len(new)
-        rest = []
-        for k, w in enumerate(new):
-            if w.isalpha():
-                coded[k] = self._plain(w)
-            elif w[-1:] in self.mark and w[:-1].isalpha():
-                coded[k] = [*self._plain(w[:-1]), self.mark[w[-1]]]
-            else:
-                rest.append(k)
+        coded = [self._parts(w) for w in new]
+        rest = [k for k, ids in enumerate(coded) if ids is None]
         for k, ids in zip(rest, self._whole([new[k][1:] if new[k][:1] == " " else " " + new[k] for k in rest]), strict=True):
             coded[k] = ids
         return coded
@@ -92,32 +124,51 @@ class PieceEncoder:
         self.size = np.concatenate([self.size, size])
         self.used += len(flat)
 
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Where each piece's ids are; what is new is learnt first."""
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys(pieces[k] for k in new)))
+            at[new] = [self.index[pieces[k]] for k in new]
+        return at
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """One ``uint32`` array of ids per text."""
+        """One ``uint32`` array of ids per text. All words of the call are coded
+        to distinct ones first, so that each is looked up once."""
         if len(self.size) > self.memo_pieces or self.used > IDS_PER_PIECE * self.memo_pieces:
             self.clear()
-        cut: list[list[str] | None] = []
-        for t in texts:
-            if _SPACE_AFTER_SPACE.search(t):
-                cut.append(None)  # runs of white space: encoded whole
-                continue
-            words = t.split(" ")
-            words[0] = " " + words[0]
-            cut.append(words)
-        index = self.index
-        new = {w for words in cut if words for w in words if w not in index}
-        if new:
-            self._learn(list(new))
-        out = []
-        for t, words in zip(texts, cut, strict=True):
-            if words is None:
-                out.append(np.array(self._whole([t])[0], dtype=np.uint32))
-                continue
-            at = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            take = np.arange(int(ends[-1])) + np.repeat(self.start[at] - (ends - size), size)
-            out.append(self.flat[take])
+        out: list[np.ndarray] = [None] * len(texts)
+        plain = []
+        for k, t in enumerate(texts):
+            if _SPACE_AFTER_SPACE.search(t):  # runs of white space: encoded whole
+                out[k] = np.array(self._whole([t])[0], dtype=np.uint32)
+            else:
+                plain.append(k)
+        if not plain:
+            return out
+        cut = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        offsets = cut.offsets.to_numpy()
+        words = cut.flatten().dictionary_encode()
+        which = words.indices.to_numpy()
+        first = offsets[:-1]
+        later = np.ones(len(which), dtype=bool)
+        later[first] = False
+        used = np.flatnonzero(np.bincount(which[later], minlength=len(words.dictionary)))
+        pieces = words.dictionary.take(pa.array(used)).to_pylist()
+        starts = [" " + w for w in words.dictionary.take(words.indices.take(pa.array(first))).to_pylist()]
+        found = self._places(pieces + starts)
+        place = np.zeros(len(words.dictionary), dtype=np.int64)
+        place[used] = found[: len(used)]
+        at = place[which]
+        at[first] = found[len(used) :]
+        size = self.size[at]
+        ends = np.cumsum(size)
+        take = np.arange(int(ends[-1])) + np.repeat(self.start[at] - (ends - size), size)
+        ids = self.flat[take]
+        last = ends[offsets[1:] - 1]
+        for k, lo, hi in zip(plain, np.concatenate([[0], last[:-1]]).tolist(), last.tolist(), strict=True):
+            out[k] = ids[lo:hi]
         return out
 
 
