@@ -5,13 +5,15 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
 #: a side is broadcast only if its written table is at most this large
 BROADCAST_BYTES = 4 << 20
+#: hashes that tell rows which cannot match from those that may
+BUCKETS = 1 << 20
 #: bounds of one Arrow batch between Spark and a Python worker
 ARROW_BYTES = 8 << 20
 ARROW_ROWS = 4096
@@ -49,6 +51,39 @@ def bytes_of(staged: DataFrame) -> int:
     return fs.getContentSummary(at).getLength()
 
 
+def free(staged: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more."""
+    at = _path(staged.sparkSession, staged._staged_at)
+    at.getFileSystem(staged.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Working column names that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def may_be_among(df: DataFrame, key: Column, keys: DataFrame, among: Column) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two parts, with a hash of ``key`` that some value of ``among`` in
+    ``keys`` shares, and without: those surely are not among them. What is broadcast
+    is the set of hashes, of which there are ``BUCKETS``, whatever the tables hold."""
+    (name,) = fresh(df, "__bucket")
+    hashes = stage(keys.select(F.pmod(F.xxhash64(among), F.lit(BUCKETS)).alias(name)).distinct(), "buckets")
+    with_hash = df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
+    columns = [quoted(c) for c in df.columns]
+    return tuple(with_hash.join(F.broadcast(hashes), name, how).select(*columns) for how in ("left_semi", "left_anti"))
+
+
 def small_side(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` and hints a broadcast only if it came out small; beyond
     that the planner joins by shuffle."""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cluster import connected_components
 from . import tokens
-from .common import stage
+from .common import fresh, may_be_among, quoted, stage
 
 SEED = 42
 BUCKET = 64
@@ -142,7 +142,7 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str =
 
 
 def components(rows: DataFrame, max_bits: int, bucket: int = BUCKET) -> DataFrame:
-    """``rows`` (staged ``doc_id, fp``) with ``component_id`` and ``label``, which
+    """``rows`` (staged ``doc_id, fp`` and more) with ``component_id`` and ``label``, which
     tells components without any id apart too."""
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     comps = connected_components(links(distinct.select("fp"), max_bits, bucket))
@@ -157,20 +157,33 @@ def components(rows: DataFrame, max_bits: int, bucket: int = BUCKET) -> DataFram
 def keep_first(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text",
                bucket: int = BUCKET) -> DataFrame:
     """One of ``docs``' rows of each component: of those of its smallest id, or of
-    all if it has no id, those of the smallest fingerprint, and of these the row of
-    the smallest hash of all columns. All columns are returned."""
-    fp = "__fingerprint"
-    all_rows = with_fingerprint(docs, shingle, text_col, out=fp)
-    rows = stage(all_rows.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(fp).alias("fp")), "simhash-rows")
-    found = components(rows, max_bits, bucket).groupBy("label", "doc_id", "fp").agg(F.count(F.lit(1)).alias("copies"))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("best")
-    kept = found.groupBy("label").agg(best).select(
-        F.col("best.doc_id").alias("__kept_id"), F.col("best.fp").alias("__kept_fp"), F.col("best.copies").alias("__copies"))
-    kept = stage(kept, "simhash-kept")
-    out = all_rows.withColumn("__id", F.col(id_col).cast("bigint"))
-    out = out.join(kept, out["__id"].eqNullSafe(kept["__kept_id"]) & (out[fp] == kept["__kept_fp"]))
-    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    all if it has no id, those of the smallest fingerprint, of these those of the
+    smallest text hash, and of these the row of the smallest hash of all columns.
+    All columns are returned.
+
+    Rows are told by id and text hash. Only documents that may share these with a
+    row that goes, or with one that repeats, are dealt out; all others stay where
+    they are."""
+    own_id, own_hash, went, copies = fresh(docs, "__id", "__hash", "__went", "__copies")
+    text = quoted(text_col)
+    key = F.struct(quoted(id_col).cast("bigint"), F.xxhash64(text))
+    told = docs.select(quoted(id_col).cast("bigint").alias("doc_id"), text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    rows = stage(with_fingerprint(told, shingle, out="fp").select("doc_id", "text_hash", "fp"), "simhash-rows")
+    found = components(rows, max_bits, bucket).groupBy("label", "doc_id", "fp", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    found = stage(found, "simhash-found")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_hash"))
+    heads = found.groupBy("label").agg(best.alias("best"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_hash") == F.col("best")
+    touched = found.join(heads, "label").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash),
+                                                (~first).alias(went), F.col("copies").alias(copies))
+    touched = stage(touched.where(F.col(went) | (F.col(copies) > 1)), "simhash-touched")
+    some, same = may_be_among(docs, key, touched, F.struct(own_id, own_hash))
+    names = [quoted(c) for c in docs.columns]
+    left = some.withColumns({f"{own_id}_l": quoted(id_col).cast("bigint"), f"{own_hash}_l": F.xxhash64(text)})
+    out = left.join(touched, F.col(f"{own_id}_l").eqNullSafe(F.col(own_id)) & (F.col(f"{own_hash}_l") == F.col(own_hash)), "left")
+    free = out.where(F.col(went).isNull()).select(*names)
     # copies collapse before they are dealt out: a grouped minimum, no window
-    one = (out.where("__copies > 1").groupBy("__id", fp)
-           .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__row")).select("__row.*"))
-    return out.where("__copies = 1").select(*names).unionByName(one)
+    text_of_all = F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in docs.schema[n].dataType.simpleString() else c for n, c in zip(docs.columns, names)])
+    one = (out.where(~F.col(went)).groupBy(own_id, own_hash)
+           .agg(F.min_by(F.struct(*names), text_of_all).alias("row")).select("row.*"))
+    return same.unionByName(free).unionByName(one)

@@ -43,11 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import small_side, stage
+from .common import free, fresh, may_be_among, quoted, small_side, stage
 
 MIN_WORDS = 50
 GRAM = 5
-WINDOW = 14
+WINDOW = 26
+#: bits of the map of hashes that more than two suffixes share; false hits cost windows, never results
+MAP_BITS = 25
 
 SUFFIX = "key bigint, doc bigint, pos int"
 MEMBER = "key bigint, doc bigint, pos int, head_doc bigint, head_pos int, crowded boolean, edge boolean"
@@ -151,21 +153,43 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int
     return rows.mapInPandas(retain, SUFFIX)
 
 
-def windows(docs: DataFrame, places: DataFrame, id_col: str, text_col: str, gram: int, window: int, words: int) -> DataFrame:
-    """Windows of the suffixes in ``places`` (``doc, pos``), in ``SUFFIX``'s columns."""
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits at the low ``MAP_BITS`` bits of ``key``: a map of fixed size, put together
+    by a grouped aggregate from 64-bit words."""
+    at = F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    words = keys.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(1 << (MAP_BITS - 6), dtype=np.uint64)
+    rows = words.toPandas()  # at most 2 ** (MAP_BITS - 6) rows
+    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out
+
+
+def windows(docs: DataFrame, crowded: DataFrame, id_col: str, text_col: str, gram: int, window: int, words: int) -> DataFrame:
+    """Windows of the suffixes in ``crowded`` (``key, doc``), in ``SUFFIX``'s columns.
+    They are made where the texts lie: documents that have none are told by their
+    id's hash, and a document's other suffixes by the map of keys."""
+    known = _bitmap(crowded.select("key").distinct())
+    context = words - window + 1
+
     def retain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens.release()
         for pdf in batches:
             for a in range(0, len(pdf), 256):
                 part = pdf.iloc[a : a + 256]
-                wanted = [np.asarray(x, dtype=np.int64) for x in part["places"]]
-                doc, pos, key = minimiser_windows([word_hashes(t) for t in part["text"]], wanted, gram, window, words)
+                hashes = [word_hashes(t) for t in part["text"]]
+                doc, pos, key = minimiser_suffixes(hashes, gram, window, context)
+                at = key & np.uint64((1 << MAP_BITS) - 1)
+                hit = (known[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                doc, pos = doc[hit], pos[hit]
+                cuts = np.searchsorted(doc, np.arange(len(part) + 1))
+                wanted = [pos[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+                doc, pos, key = minimiser_windows(hashes, wanted, gram, window, words)
                 yield pd.DataFrame({"key": key.view(np.int64), "doc": part["doc"].to_numpy()[doc], "pos": pos.astype(np.int32)})
 
-    per_doc = small_side(places.groupBy("doc").agg(F.collect_set("pos").alias("places")), "suffix-crowded")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).where(
         "doc is not null and text is not null")
-    return rows.join(per_doc, "doc").select("doc", "text", "places").mapInPandas(retain, SUFFIX)
+    return may_be_among(rows, F.col("doc"), crowded, F.col("doc"))[0].mapInPandas(retain, SUFFIX)
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,18 +234,20 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield found(*held, more=False)[0]
 
 
-def _members(kept: DataFrame, name: str) -> DataFrame:
-    """``doc, pos``, their run's ``head_doc, head_pos`` and ``crowded`` of suffixes."""
+def _members(kept: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``key, doc, pos``, their run's ``head_doc, head_pos`` and ``crowded`` of
+    staged suffixes, which go."""
     order = ["key", "doc", "pos"]
     members = stage(kept.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs, MEMBER), f"{name}-runs")
+    free(kept)
     # only a partition's first and last keys can go on elsewhere; their rows know
     # the first suffix of the run, and its size, as far as their own partition has it
     heads = members.where("edge").groupBy("key").agg(
         F.min(F.struct(F.col("head_doc").alias("doc"), F.col("head_pos").alias("pos"))).alias("head"),
         (F.max("crowded") | (F.count(F.lit(1)) > 2)).alias("many"))
     heads = small_side(heads, f"{name}-edge-heads")
-    return members.join(heads, "key", "left").select(
-        "doc", "pos", F.coalesce("head.doc", "head_doc").alias("head_doc"), F.coalesce("head.pos", "head_pos").alias("head_pos"),
+    return members, members.join(heads, "key", "left").select(
+        "key", "doc", "pos", F.coalesce("head.doc", "head_doc").alias("head_doc"), F.coalesce("head.pos", "head_pos").alias("head_pos"),
         (F.col("crowded") | F.coalesce("many", F.lit(False))).alias("crowded"))
 
 
@@ -231,11 +257,14 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gra
     earlier document, whose words lie ``shift`` places before; every window of
     ``doc`` that some earlier document has is in one such pair. Linear in the words."""
     kept = stage(suffixes(docs, id_col, text_col, gram, window, min_words - window + 1), "suffixes")
-    members = _members(kept, "suffix")
-    crowded = members.where("crowded").select("doc", "pos")
-    whole = _members(stage(windows(docs, crowded, id_col, text_col, gram, window, min_words), "windows"), "window")
+    written, members = _members(kept, "suffix")
+    crowded = stage(members.where("crowded").select("key", "doc").distinct(), "suffix-crowded")
+    written_too, whole = _members(stage(windows(docs, crowded, id_col, text_col, gram, window, min_words), "windows"), "window")
     both = members.where("not crowded").unionByName(whole).where("head_doc < doc")
-    return stage(both.select("doc", F.col("head_doc").alias("other"), (F.col("pos") - F.col("head_pos")).alias("shift")).distinct(), "suffix-matches")
+    out = stage(both.select("doc", F.col("head_doc").alias("other"), (F.col("pos") - F.col("head_pos")).alias("shift")).distinct(), "suffix-matches")
+    for table in (written, written_too, crowded):
+        free(table)
+    return out
 
 
 def _along(a: np.ndarray, b: np.ndarray, shift: int, least: int) -> list[tuple[int, int]]:
@@ -280,10 +309,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = matches(docs, id_col, text_col, gram, window, min_words)
     pairs = found.groupBy("doc", "other").agg(F.collect_list("shift").alias("shifts"))
     pairs = stage(pairs, "suffix-pairs")
-    ids = pairs.select("doc").unionByName(pairs.select(F.col("other").alias("doc"))).distinct()
-    texts = (docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-             .where("doc is not null and text is not null").join(small_side(ids, "suffix-docs"), "doc", "left_semi")
-             .distinct())
+    free(found)
+    ids = pairs.select("doc").unionByName(pairs.select(F.col("other").alias("doc")))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
+    # only texts that may be in a pair are dealt out, once, and read by both joins
+    texts = (may_be_among(rows, F.col("doc"), ids, F.col("doc"))[0].withColumn("text_hash", F.xxhash64("text"))
+             .repartition("doc").dropDuplicates(["doc", "text_hash"]))
     others = texts.select(F.col("doc").alias("other"), F.col("text").alias("other_text"))
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,8 +325,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     rows.append((r.doc, r.text_hash, s, e, c, d, r.other, q))
             yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "start_word", "end_word", "start_char", "end_char", "match_doc_id", "match_start_word"])
 
-    both = pairs.join(others, "other").join(texts, "doc")
-    return both.select("doc", "text", F.xxhash64("text").alias("text_hash"), "other", "other_text", "shifts").mapInPandas(extend, SPAN)
+    both = pairs.join(texts, "doc").join(others, "other")
+    return both.select("doc", "text", "text_hash", "other", "other_text", "shifts").mapInPandas(extend, SPAN)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -303,8 +334,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with repeated passages cut from the later documents; a document
     of which nothing but white space is left goes. Others are unchanged."""
     spans = repeated_spans(docs, id_col, text_col, min_words, gram, window)
-    cuts = small_side(spans.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-                      .agg(F.array_sort(F.collect_set(F.struct("start_char", "end_char"))).alias("__cuts")), "suffix-cuts")
+    own_id, own_hash, own_cuts = fresh(docs, "__id", "__hash", "__cuts")
+    cuts = stage(spans.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+                 .agg(F.array_sort(F.collect_set(F.struct("start_char", "end_char"))).alias(own_cuts)), "suffix-cuts")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -318,17 +350,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append("".join([*kept, text[at:]]))
         return pd.Series(out)
 
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__hash": F.xxhash64(text_col)})
-    joined = keyed.join(cuts, ["__id", "__hash"], "left")
-    same = joined.where("__cuts is null").select(*[docs_col(c) for c in docs.columns])
-    less = joined.where("__cuts is not null").withColumn(text_col, cut(text_col, "__cuts"))
-    less = less.where(F.col(docs_name(text_col)).rlike(r"\S")).select(*[docs_col(c) for c in docs.columns])
-    return same.unionByName(less)
-
-
-def docs_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def docs_col(name: str):
-    return F.col(docs_name(name))
+    columns = [quoted(c) for c in docs.columns]
+    some, same = may_be_among(docs, F.struct(quoted(id_col).cast("bigint"), F.xxhash64(quoted(text_col))), cuts, F.struct(own_id, own_hash))
+    keyed = some.withColumns({own_id: quoted(id_col).cast("bigint"), own_hash: F.xxhash64(quoted(text_col))})
+    joined = keyed.join(cuts, [own_id, own_hash], "left")
+    untouched = joined.where(F.col(own_cuts).isNull()).select(*columns)
+    less = joined.where(F.col(own_cuts).isNotNull()).withColumn(text_col, cut(quoted(text_col), own_cuts))
+    less = less.where(quoted(text_col).rlike(r"\S")).select(*columns)
+    return same.unionByName(untouched).unionByName(less)
