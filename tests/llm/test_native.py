@@ -34,6 +34,37 @@ def test_mix_keeps_all_rows_and_the_lag_bound(spark, make_docs):
     assert mixing.mixed(docs, weights).columns == docs.columns and mixing.mixed(make_docs([]), weights).count() == 0
 
 
+def brute_period(weights):
+    total, used, out = sum(weights), [0] * len(weights), []
+    for t in range(total):
+        can = [(-(-(used[i] + 1) * total // w), i) for i, w in enumerate(weights) if used[i] < w and used[i] * total // w <= t]
+        out.append(min(can)[1])
+        used[out[-1]] += 1
+    return out
+
+
+@pytest.mark.parametrize("weights", [[1], [6, 3, 3, 2], [1] * 9, [5, 1, 1, 7, 2, 2], [40, 1, 1, 1, 33]])
+def test_a_period_is_served_by_earliest_deadline(weights):
+    slots = mixing.serve_period(weights)
+    assert [next(i for i, s in enumerate(slots) if t in s) for t in range(sum(weights))] == brute_period(weights)
+
+
+def test_mix_passes_any_columns_through(spark):
+    rows = [(k, f"s{k % 3}", "p", "part", k, "at", "base", "phases", {"m": k}, "x`y") for k in range(40)]
+    names = "doc_id long, source string, p string, part string, j long, `at` string, base string, phases string, __mix_at map<string,long>, `a``b` string"
+    docs = spark.createDataFrame(rows, names)
+    for out in (mixing.mixed(docs, {"s0": 2}, block_rows=3), mixing.interleave(docs, {"s0": 2}, block_rows=3).select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])):
+        assert out.dtypes == docs.dtypes and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
+    with pytest.raises(ValueError):
+        mixing.mixed(docs.withColumn("__mix_slot", F.lit(1)), {})
+
+
+def test_mix_of_very_many_sources(spark):
+    docs = spark.range(15_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("h"), F.col("id") % 5_000).alias("source"))
+    out = mixing.interleave(docs, {"h7": 5000, "h11": 200_000}, block_rows=1).select("source", "__mix_slot").collect()
+    assert sorted(r["__mix_slot"] for r in out) == list(range(15_000))
+
+
 def paths(spark, rows, branches):
     tree = spark.createDataFrame(rows, "conv_id bigint, node bigint, parent bigint, role string, text string, score double, extra int")
     out = chat.format_trees(tree, branches).withColumn("turns", chat.parse(F.col("formatted"))).withColumn("learned", chat.loss_texts(F.col("formatted"), F.col("loss")))

@@ -1,4 +1,5 @@
-"""Mixing sources to target weights by Pfair scheduling, DataFrame functions only.
+"""Mixing sources to target weights by Pfair scheduling; rows pass through DataFrame
+functions only.
 
 A source's rows, in id order, form blocks of ``block_rows``; one block is served
 per slot. A source of weight ``w`` among active weights of sum ``W`` has block
@@ -18,68 +19,93 @@ over many tasks), counts per partition and a prefix sum over the partitions.
 Defined results: null and empty sources are one source; sources without a target
 weigh ``default_weight``; targets without rows are ignored; null ids come first;
 rows that share an id are all served, in the order of the hash of their other
-columns; an empty table gives no rows; other columns, whatever their names, are
-passed through (working columns start with ``__mix``).
+columns; an empty table gives no rows; other columns of any type are passed
+through, whatever their names but the six that are added (``PLACED``). Sources and
+weights are not bounded: the plan is made on the driver in time and space in
+proportion to the phases' weight sums, and joined by its size.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
+from bisect import bisect_left
+from collections.abc import Callable
+from itertools import compress
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_side, stage
+from .common import fresh, quoted, small_side, stage
 
-#: bounds of the plan: sources, and slots of one period
-MAX_SOURCES = 4096
-MAX_PERIOD = 100_000
+PLACED = ("__mix_phase", "__mix_block", "__mix_release", "__mix_deadline", "__mix_slot", "__mix_place")
 
 PLAN = ("array<struct<source:string,phases:array<struct<"
         "phase:int,first:bigint,last:bigint,weight:bigint,period:bigint,start:bigint,slots:array<bigint>>>>>")
 
-# earliest deadline first over one period: `quota` holds the active weights, a
-# source's k-th block is released at k * W div quota and due at ((k + 1) * W)
-# over quota, rounded up; ties go to the first source
-_PERIOD = """
-aggregate(sequence(0L, {W}L - 1L),
-  named_struct('used', transform(quota, q -> 0L), 'served', cast(array() as array<int>)),
-  (acc, t) -> transform(
-    array(array_min(transform(quota, (q, i) -> if(acc.used[i] < q and acc.used[i] * {W}L div q <= t,
-      named_struct('due', ((acc.used[i] + 1L) * {W}L + q - 1L) div q, 'i', i), null))).i),
-    pick -> named_struct('used', transform(acc.used, (u, i) -> if(i = pick, u + 1L, u)),
-                         'served', concat(acc.served, array(pick))))[0],
-  acc -> acc.served)"""
-
-
-def serve_period(spark: SparkSession, weights: list[int]) -> list[int]:
-    """Which source (by place in ``weights``) each slot of one period serves."""
+
+def serve_period(weights: list[int], left: list[int] | None = None) -> list[list[int]]:
+    """The slots of one period that each source (by place in ``weights``) is served
+    in: earliest deadline first. Source ``i``'s ``k``-th block is released at ``k * W div
+    weights[i]`` and due at ``((k + 1) * W)`` over its weight, rounded up; ties go to the
+    first source. One heap of released blocks: time in proportion to ``W`` but for a
+    logarithm. It ends early when a source has no blocks ``left``."""
     total = sum(weights)
-    quota = F.array(*[F.lit(w).cast("bigint") for w in weights])
-    return list(spark.range(1).select(quota.alias("quota")).select(F.expr(_PERIOD.format(W=total)).alias("s")).first()["s"])
-
-
-def plan(spark: SparkSession, blocks: dict[str, int], weights: dict[str, int]) -> list[dict]:
-    """Each source's phases; sizes depend on sources and weights, not on rows."""
-    left, done, start, phase = {s: n for s, n in sorted(blocks.items()) if n}, dict.fromkeys(blocks, 0), 0, 0
-    out: dict[str, list] = {s: [] for s in blocks}
-    while left:
-        names = list(left)
-        period = sum(weights[s] for s in names)
-        served = serve_period(spark, [weights[s] for s in names])
-        slots: dict[str, list[int]] = {s: [] for s in names}
-        for t, i in enumerate(served):
-            slots[names[i]].append(t)
-        ends = {s: (left[s] - 1) // weights[s] * period + slots[s][(left[s] - 1) % weights[s]] + 1 for s in names}
-        length = min(ends.values())
-        for s in names:
-            took = length // period * weights[s] + sum(t < length % period for t in slots[s])
-            out[s].append({"phase": phase, "first": done[s], "last": done[s] + took, "weight": weights[s], "period": period,
-                           "start": start, "slots": slots[s]})
-            done[s] += took
-            left[s] -= took
-        left = {s: n for s, n in left.items() if n}
+    slots: list[list[int]] = [[] for _ in weights]
+    ready = [(-(-total // w), i) for i, w in enumerate(weights)]
+    heapq.heapify(ready)
+    later: dict[int, list[int]] = {}
+    for t in range(total):
+        for i in later.pop(t, ()):
+            heapq.heappush(ready, (-(-(len(slots[i]) + 1) * total // weights[i]), i))
+        i = heapq.heappop(ready)[1]
+        slots[i].append(t)
+        k = len(slots[i])
+        if left is not None and k == left[i]:
+            break
+        if k < weights[i]:
+            later.setdefault(max(t + 1, k * total // weights[i]), []).append(i)
+    return slots
+
+
+def _phase(weights: list[int], left: list[int]) -> tuple[int, list[int], Callable[[int], list[int]]]:
+    """One phase: its length, the blocks each source takes, and its slots by place.
+    Sources of one weight take turns, which needs no simulation."""
+    n = len(left)
+    if min(weights) == max(weights):
+        fewest = min(left)
+        last = left.index(fewest)
+        took = [fewest] * (last + 1) + [fewest - 1] * (n - last - 1)
+        return (fewest - 1) * n + last + 1, took, lambda i: [i + r * n for r in range(min(weights[0], left[i]))]
+    slots = serve_period(weights, left)
+    period = sum(weights)
+    if sum(map(len, slots)) < period or any(len(s) == k for s, k in zip(slots, left, strict=True)):
+        return sum(map(len, slots)), [len(s) for s in slots], slots.__getitem__
+    length = min((k - 1) // w * period + s[(k - 1) % w] + 1 for k, w, s in zip(left, weights, slots, strict=True))
+    took = [length // period * w + bisect_left(s, length % period) for w, s in zip(weights, slots, strict=True)]
+    return length, took, slots.__getitem__
+
+
+def plan(blocks: dict[str, int], weights: dict[str, int]) -> list[dict]:
+    """Each source's phases; sizes depend on sources and weights, not on rows. A
+    phase ends when a source runs out."""
+    names = sorted(s for s, n in blocks.items() if n)
+    left, own = [blocks[s] for s in names], [weights[s] for s in names]
+    out: dict[str, list] = {s: [] for s in names}
+    start = phase = 0
+    while names:
+        length, took, slots = _phase(own, left)
+        period = sum(own)
+        for i in compress(range(len(took)), took):
+            n = took[i]
+            first = blocks[names[i]] - left[i]
+            out[names[i]].append({"phase": phase, "first": first, "last": first + n, "weight": own[i], "period": period,
+                                  "start": start, "slots": slots(i)})
+            left[i] -= n
+        if 0 in left:
+            keep = [i for i, n in enumerate(left) if n]
+            names, left, own = [names[i] for i in keep], [left[i] for i in keep], [own[i] for i in keep]
         start, phase = start + length, phase + 1
     return [{"source": s, "phases": p} for s, p in out.items() if p]
 
@@ -90,45 +116,49 @@ def interleave(docs: DataFrame, weights: dict[str, int], default_weight: int = 1
     ``__mix_release`` and ``__mix_deadline`` (slots), ``__mix_slot`` and ``__mix_place``
     (within the block). (slot, place) is the mixed order; it has no ties."""
     spark = docs.sparkSession
-    name = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    rest = [c for c in docs.columns if c not in (id_col, source_col)]
-    tie = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in rest]) if rest else F.lit(0)
-    keyed = docs.withColumns({"__mix_source": name, "__mix_id": F.col(id_col).cast("bigint"), "__mix_tie": tie})
-    order = ["__mix_source", "__mix_id", "__mix_tie"]
-    rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("__mix_id", "__mix_tie")
-    rows = stage(rows.withColumn("__mix_at", F.monotonically_increasing_id()), "mix-rows")
-
-    part = F.shiftright("__mix_at", 33)
-    sizes = stage(rows.groupBy(part.alias("part"), "__mix_source").agg(F.count(F.lit(1)).alias("n"), F.min("__mix_at").alias("at")), "mix-sizes")
-    counts = sizes.groupBy("__mix_source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    own = {r["__mix_source"]: int(weights.get(r["__mix_source"], default_weight)) for r in counts}
-    if any(w < 1 for w in own.values()) or sum(own.values()) > MAX_PERIOD:
-        raise ValueError(f"weights: whole numbers from 1, {MAX_PERIOD} in sum at most")
-    phases = plan(spark, {r["__mix_source"]: -(-r["n"] // block_rows) for r in counts}, own)
+    name, row_id, tie, at = fresh(docs, "__mix_source", "__mix_id", "__mix_tie", "__mix_at")
+    part, n, least, base, phases, number, p, j = (f"{name}_{x}" for x in ("part", "n", "least", "base", "phases", "row", "p", "j"))
+    block, place = fresh(docs, "__mix_block", "__mix_place")
+    columns = [quoted(c) for c in docs.columns]
+    # map columns have no hash of their own
+    rest = [F.to_json(F.struct(quoted(c))) if "map<" in t else quoted(c) for c, t in docs.dtypes if c not in (id_col, source_col)]
+    keyed = docs.select(*columns, F.coalesce(quoted(source_col).cast("string"), F.lit("")).alias(name),
+                        quoted(id_col).cast("bigint").alias(row_id), (F.xxhash64(*rest) if rest else F.lit(0)).alias(tie))
+    order = [name, row_id, tie]
+    rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop(row_id, tie)
+    rows = stage(rows.withColumn(at, F.monotonically_increasing_id()), "mix-rows")
+
+    parts = F.shiftright(at, 33)
+    sizes = stage(rows.groupBy(parts.alias(part), name).agg(F.count(F.lit(1)).alias(n), F.min(at).alias(least)), "mix-sizes")
+    counts = {r[name]: r["all"] for r in sizes.groupBy(name).agg(F.sum(n).alias("all")).collect()}  # one row per source
+    own = {s: int(weights.get(s, default_weight)) for s in counts}
+    if any(w < 1 for w in own.values()):
+        raise ValueError("weights: whole numbers from 1")
+    planned = plan({s: -(-k // block_rows) for s, k in counts.items()}, own)
     # a source's rows before this partition; partitions are in source and id order
-    before = Window.partitionBy("__mix_source").orderBy("part")
-    bases = small_side(sizes.select("__mix_source", "part", "at", (F.sum("n").over(before) - F.col("n")).alias("base")), "mix-bases")
-    planned = (spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(phases)), PLAN)).alias("p"))
-               .select(F.col("p.source").alias("__mix_source"), F.col("p.phases").alias("phases")))
-    number = F.col("base") + F.col("__mix_at") - F.col("at")
-    out = (rows.withColumn("part", part).join(bases, ["__mix_source", "part"]).withColumn("__mix_row", number)
-           .withColumns({"__mix_block": F.floor(F.col("__mix_row") / block_rows), "__mix_place": F.col("__mix_row") % block_rows})
-           .join(F.broadcast(planned), "__mix_source"))  # one row per source: MAX_SOURCES at most
-    p = F.element_at(F.filter("phases", lambda x: (x["first"] <= F.col("__mix_block")) & (F.col("__mix_block") < x["last"])), 1)
-    out = out.withColumn("p", p).withColumn("j", F.col("__mix_block") - F.col("p.first"))
+    before = Window.partitionBy(name).orderBy(part)
+    bases = small_side(sizes.select(name, part, least, (F.sum(n).over(before) - F.col(n)).alias(base)), "mix-bases")
+    schedule = (spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(planned)), PLAN)).alias("s"))
+                .select(F.col("s.source").alias(name), F.col("s.phases").alias(phases)))
+    schedule = small_side(schedule, "mix-plan")
+    out = (rows.withColumn(part, parts).join(bases, [name, part]).withColumn(number, F.col(base) + F.col(at) - F.col(least))
+           .withColumns({block: F.floor(F.col(number) / block_rows), place: F.col(number) % block_rows})
+           .join(schedule, name))
+    here = F.element_at(F.filter(phases, lambda x: (x["first"] <= F.col(block)) & (F.col(block) < x["last"])), 1)
+    out = out.withColumn(p, here).withColumn(j, F.col(block) - F.col(f"{p}.first"))
     return out.select(
-        *[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns],
-        F.col("p.phase").alias("__mix_phase"), "__mix_block",
-        F.expr("p.start + j * p.period div p.weight").alias("__mix_release"),
-        F.expr("p.start + ((j + 1) * p.period + p.weight - 1) div p.weight").alias("__mix_deadline"),
-        F.expr("p.start + j div p.weight * p.period + p.slots[cast(j % p.weight as int)]").alias("__mix_slot"),
-        "__mix_place")
+        *columns, F.col(f"{p}.phase").alias("__mix_phase"), F.col(block).alias("__mix_block"),
+        F.expr(f"{p}.start + {j} * {p}.period div {p}.weight").alias("__mix_release"),
+        F.expr(f"{p}.start + (({j} + 1) * {p}.period + {p}.weight - 1) div {p}.weight").alias("__mix_deadline"),
+        F.expr(f"{p}.start + {j} div {p}.weight * {p}.period + {p}.slots[cast({j} % {p}.weight as int)]").alias("__mix_slot"),
+        F.col(place).alias("__mix_place"))
 
 
 def mixed(docs: DataFrame, weights: dict[str, int], **options) -> DataFrame:
     """``docs`` in mixed order: ascending over partitions and within them."""
+    hidden = [c for c in docs.columns if c.lower() in PLACED]
+    if hidden:
+        raise ValueError(f"reserved column names: {hidden}")
     out = interleave(docs, weights, **options)
     out = out.repartitionByRange("__mix_slot", "__mix_place").sortWithinPartitions("__mix_slot", "__mix_place")
-    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    return out.select(*[quoted(c) for c in docs.columns])
