@@ -173,3 +173,20 @@ def test_keep_first_keeps_one_row_of_repeated_heads_and_of_rows_without_ids(spar
     kept = got.collect()
     assert sorted((r.doc_id for r in kept), key=str) == [1, 5, None]
     assert {r.text for r in kept if r.doc_id is None} <= {bare, near}
+
+
+def test_hot_keys_dealt_to_many_places_change_nothing(spark, make_docs, monkeypatch):
+    from tidyrent.llm import common
+
+    rng = np.random.default_rng(13)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n))
+    shared, copy = word(60), word(80)
+    docs = make_docs([(k, f"{word(10)} {shared} {word(10)}", "en", "a") for k in range(12)] + [(100 + k, copy, "en", "a") for k in range(9)]
+                     + [(200, word(70), "en", "a"), (None, copy, "en", "a")])
+    runs = lambda: (sorted(map(str, suffix_dedup.repeated_spans(docs).collect())), sorted(map(str, simhash.near_duplicates(docs, 3, 2).collect())))
+    plain = runs()
+    assert len(plain[0]) == 11 + 8
+    for module in (suffix_dedup, simhash):
+        monkeypatch.setattr(module, "HOT_ROWS", 2)
+    monkeypatch.setattr(common, "SALTS", 3)
+    assert runs() == plain

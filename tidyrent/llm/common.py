@@ -14,6 +14,9 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_BYTES = 4 << 20
 #: hashes that tell rows which cannot match from those that may
 BUCKETS = 1 << 20
+#: a key that more rows than this share is dealt to ``SALTS`` places
+HOT_ROWS = 256
+SALTS = 64
 #: bounds of one Arrow batch between Spark and a Python worker
 ARROW_BYTES = 8 << 20
 ARROW_ROWS = 4096
@@ -84,6 +87,14 @@ def may_be_among(df: DataFrame, key: Column, keys: DataFrame, among: Column) ->
     return tuple(with_hash.join(F.broadcast(hashes), name, how).select(*columns) for how in ("left_semi", "left_anti"))
 
 
+def salted(left: DataFrame, right: DataFrame, key: str, by: Column) -> DataFrame:
+    """``left`` joined on ``key`` with ``right``, whose rows are met in ``SALTS`` places
+    each: for keys that very many rows of ``left`` share and few of ``right``."""
+    salt = fresh(left.join(right, key), "__salt")[0]
+    many = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(many, [key, salt]).drop(salt)
+
+
 def small_side(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` and hints a broadcast only if it came out small; beyond
     that the planner joins by shuffle."""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cluster import connected_components
 from . import tokens
-from .common import fresh, may_be_among, quoted, stage
+from .common import HOT_ROWS, fresh, may_be_among, quoted, salted, stage
 
 SEED = 42
 BUCKET = 64
@@ -144,14 +144,18 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, id_col: str =
 def components(rows: DataFrame, max_bits: int, bucket: int = BUCKET) -> DataFrame:
     """``rows`` (staged ``doc_id, fp`` and more) with ``component_id`` and ``label``, which
     tells components without any id apart too."""
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     comps = connected_components(links(distinct.select("fp"), max_bits, bucket))
     labelled = distinct.join(comps.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn(
         "label", F.coalesce("label", "fp"))
     labelled = stage(labelled, "simhash-labels")
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_fp = labelled.join(least, "label").select("fp", "component_id", "label")
-    return rows.join(by_fp, "fp")
+    by_fp = stage(labelled.join(least, "label").select("fp", "component_id", "label"), "simhash-by-fp")
+    # a group of exact copies meets its fingerprint's row in many places
+    hot = distinct.where(F.col("n") > HOT_ROWS)
+    many, few = may_be_among(rows, F.col("fp"), hot, F.col("fp"))
+    met = may_be_among(by_fp, F.col("fp"), hot, F.col("fp"))[0]
+    return few.join(by_fp, "fp").unionByName(salted(many, met, "fp", F.col("doc_id")))
 
 
 def keep_first(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text",

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import free, fresh, may_be_among, quoted, small_side, stage
+from .common import HOT_ROWS, free, fresh, may_be_among, quoted, salted, small_side, stage
 
 MIN_WORDS = 50
 GRAM = 5
@@ -325,7 +325,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     rows.append((r.doc, r.text_hash, s, e, c, d, r.other, q))
             yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "start_word", "end_word", "start_char", "end_char", "match_doc_id", "match_start_word"])
 
-    both = pairs.join(texts, "doc").join(others, "other")
+    # the first document of a common passage is met by all that repeat it
+    hot = pairs.groupBy("other").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS)
+    many, few = may_be_among(pairs, F.col("other"), hot, F.col("other"))
+    met = may_be_among(others, F.col("other"), hot, F.col("other"))[0]
+    both = few.join(texts, "doc").join(others, "other").unionByName(salted(many.join(texts, "doc"), met, "other", F.col("doc")))
     return both.select("doc", "text", "text_hash", "other", "other_text", "shifts").mapInPandas(extend, SPAN)
 
 
