@@ -11,6 +11,7 @@ when it is full, so a task's memory does not grow with its rows.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -21,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: texts that a task encodes at once
-TEXTS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 640
 #: bounds of a worker's memo: distinct pieces (about 250 bytes each), and ids for each
 MEMO_PIECES = 1_200_000
 IDS_PER_PIECE = 10
@@ -58,8 +59,8 @@ class PieceEncoder:
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
-        self.start = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
+        self.start = np.zeros(0, dtype=np.int32)  # the memo's bounds keep places below 2**31
+        self.size = np.zeros(0, dtype=np.int32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,8 +121,8 @@ class PieceEncoder:
         self.flat[self.used : self.used + len(flat)] = flat
         base = len(self.size)
         self.index.update(zip(new, range(base, base + len(new)), strict=True))
-        self.start = np.concatenate([self.start, self.used + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        self.start = np.concatenate([self.start, (self.used + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
         self.used += len(flat)
 
     def _places(self, pieces: list[str]) -> np.ndarray:
@@ -158,13 +159,15 @@ class PieceEncoder:
         pieces = words.dictionary.take(pa.array(used)).to_pylist()
         starts = [" " + w for w in words.dictionary.take(words.indices.take(pa.array(first))).to_pylist()]
         found = self._places(pieces + starts)
-        place = np.zeros(len(words.dictionary), dtype=np.int64)
+        place = np.zeros(len(words.dictionary), dtype=np.int32)
         place[used] = found[: len(used)]
         at = place[which]
         at[first] = found[len(used) :]
+        del cut, words, which, later
         size = self.size[at]
-        ends = np.cumsum(size)
-        take = np.arange(int(ends[-1])) + np.repeat(self.start[at] - (ends - size), size)
+        ends = np.cumsum(size, dtype=np.int64)
+        take = np.repeat((self.start[at] - (ends - size)), size)
+        take += np.arange(len(take))
         ids = self.flat[take]
         last = ends[offsets[1:] - 1]
         for k, lo, hi in zip(plain, np.concatenate([[0], last[:-1]]).tolist(), last.tolist(), strict=True):
@@ -183,7 +186,10 @@ def encoder(path: str, memo_pieces: int = MEMO_PIECES) -> PieceEncoder:
 def release() -> None:
     """Drops this worker's encoders: workers are used again by other operators,
     which should not share their memory with a memo."""
-    _LOADED.clear()
+    if _LOADED:
+        _LOADED.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def crc32_u32(ids: np.ndarray) -> int:
