@@ -22,6 +22,10 @@ ARROW_BYTES = 8 << 20
 ARROW_ROWS = 4096
 
 
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+                 "MALLOC_TRIM_THRESHOLD_": str(4 << 20)}
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -112,6 +116,9 @@ def ship(spark: SparkSession) -> None:
     bounds what a worker holds at once: batches of at most ``ARROW_BYTES``."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    # settings of the workers' allocators: what a stage frees goes back to the system
+    # and is not kept beside what the next one needs
+    spark.sparkContext.environment.update(WORKER_MEMORY)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
