@@ -111,14 +111,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, give_back: bool = False) -> None:
     """Lets Python workers import this package from where the driver did, and
-    bounds what a worker holds at once: batches of at most ``ARROW_BYTES``."""
+    bounds what a worker holds at once: batches of at most ``ARROW_BYTES``.
+    ``give_back``, before the first worker starts: their allocators return what a
+    stage frees to the system, which costs time, instead of keeping it beside what
+    the next stage needs."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    # settings of the workers' allocators: what a stage frees goes back to the system
-    # and is not kept beside what the next one needs
-    spark.sparkContext.environment.update(WORKER_MEMORY)
+    if give_back:
+        spark.sparkContext.environment.update(WORKER_MEMORY)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
