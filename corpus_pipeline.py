@@ -28,21 +28,21 @@ SPAN_ROWS = 5 * sum(MIX_WEIGHTS.values()) * MIX_BLOCK_ROWS
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified. Declared language: ``lang``; host:
     ``source``."""
-    ship(spark)
+    ship(spark, give_back=True)
     found = langid.identify(docs, "text", F.col("lang"), F.lit(None).cast("string"), F.col("source"))
     return found.where("__lid_kept").select(*docs.columns)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: its smallest id."""
-    ship(spark)
+    ship(spark, give_back=True)
     return simhash.keep_first(docs, SHINGLE, MAX_BITS).select(*docs.columns)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier documents have; ``n_chars``
     follows the text."""
-    ship(spark)
+    ship(spark, give_back=True)
     out = suffix_dedup.remove_repeats(docs)
     chars = F.when(F.col("text").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.withColumn("n_chars", chars).select(*docs.columns)
@@ -50,14 +50,14 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the Pfair schedule."""
-    ship(spark)
+    ship(spark, give_back=True)
     return mixing.mixed(docs, MIX_WEIGHTS, block_rows=MIX_BLOCK_ROWS).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 ids and their places in packed sequences, which come
     in the mixed order, span by span."""
-    ship(spark)
+    ship(spark, give_back=True)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), PACK_END_ID, memo_pieces=MEMO_PIECES, span_rows=SPAN_ROWS)
 
 
@@ -75,6 +75,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark, give_back=True)
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
