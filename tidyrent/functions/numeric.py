@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -64,17 +63,6 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius:
     return F.lit(radius) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
-def unit_vector(lat: Column, lon: Column, degrees: bool = True) -> tuple[Column, Column, Column]:
-    """Point on the unit sphere. Haversine distance d ⇔ chord 2·sin(d/2)."""
-    la = F.radians(lat) if degrees else lat
-    lo = F.radians(lon) if degrees else lon
-    return F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la)
-
-
-def chord_for_angle(angle: float) -> float:
-    return 2.0 * math.sin(min(angle, math.pi) / 2.0)
-
-
 def right_closed_bins(c: Column, edges: Sequence[float], label: str = BIN_LABEL,
                       unknown: str = UNKNOWN_BIN) -> Column:
     """label ``Grupo i`` for ``edges[i-1] < x <= edges[i]``; outside or
@@ -88,7 +76,7 @@ def right_closed_bins(c: Column, edges: Sequence[float], label: str = BIN_LABEL,
 
 
 def noise_flag(cluster: Column) -> Column:
-    """F26."""
+    """1 where a row's cluster label is noise (-1), else 0; no label is no noise."""
     return F.when(cluster == -1, 1).otherwise(0)
 
 

@@ -105,16 +105,13 @@ def parse_int(c: Column, pattern: str, groups: int | None = None) -> Column:
 def parse_coordinate_pair(lat: Column, lon: Column) -> tuple[Column, Column]:
     """F9 + F11: either side null → both null; else text → double.
 
-    Unparseable text becomes null (and NaN is never kept: NaN orders above
-    every number in Spark and would break every later range predicate).
+    Unparseable text becomes null, as does NaN (it orders above every number in
+    Spark and would break every later range predicate); the other side goes with
+    it, as half a pair is no place.
     """
-    both = lat.isNotNull() & lon.isNotNull()
-
-    def to_double(c: Column) -> Column:
-        d = c.try_cast("double")
-        return F.when(both & ~F.isnan(d), d)
-
-    return to_double(lat), to_double(lon)
+    a, b = lat.try_cast("double"), lon.try_cast("double")
+    both = a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b)
+    return F.when(both, a), F.when(both, b)
 
 
 def combo_key(a: Column, b: Column) -> Column:
@@ -132,17 +129,59 @@ def decimal_point_repair(c: Column, position: int) -> Column:
                     F.substring(digits, position + 1, 1 << 30)).try_cast("double")
 
 
+# --- fixed values: patterns of the reply contract ---
+REPLY_BODY = r"(?s)(\{.*?\}|\[.*?\])"
+# --- end of fixed values ---
+# a reply from its first opening bracket to its last closing one
+REPLY_SPAN = r"(?s)([\{\[].*[\}\]])"
+# parts of a literal: text in single quotes (an apostrophe that no delimiter follows
+# belongs to the text), text in double quotes, everything between
+LITERAL_PARTS = (r"""(?s)('[^'\\]*+(?:(?:\\.|'(?!\s*(?:[,:}\])]|$)))[^'\\]*+)*+'"""
+                 r"""|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"])""")
+UNESCAPED_QUOTE = r'(?<=(?:^|[^\\])(?:\\\\){0,20})"'
+
+
+def literal_to_json(c: Column) -> Column:
+    """JSON text of a Python literal: quoted texts (single or double quotes, escaped
+    quotes, apostrophes within a text) become JSON strings; outside of them ``None``,
+    ``True`` and ``False`` get their JSON names, tuples become arrays and a comma
+    before a closing bracket goes. Text that is no literal stays no JSON."""
+    def part(t: Column) -> Column:
+        single = F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), r"\\'", "'")
+        plain = F.translate(t, "()", "[]")
+        for pattern, to in ((r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"),
+                            (r",(\s*[\]}])", "$1")):
+            plain = F.regexp_replace(plain, pattern, to)
+        return (F.when(t.startswith("'") & (F.length(t) > 1),
+                       F.concat(F.lit('"'), F.regexp_replace(single, UNESCAPED_QUOTE, r'\\"'), F.lit('"')))
+                .when(t.startswith('"'), F.regexp_replace(t, r"\\'", "'"))
+                .otherwise(plain))
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(LITERAL_PARTS), F.lit(1)), part), "")
+
+
+def _record_list(body: Column) -> Column:
+    return F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+
+
 def repair_reply(c: Column, schema: str) -> Column:
     """pull the first ``{...}`` or ``[...]`` (non-greedy) out of a free-text
     reply, turn Python ``None`` and single quotes into JSON, parse as an array of
-    records. A bare object becomes a one-element array; junk gives null."""
-    body = F.regexp_extract(F.trim(c), r"(?s)(\{.*?\}|\[.*?\])", 1)
-    body = F.when(body == "", F.trim(c)).otherwise(body)
+    records. A bare object becomes a one-element array.
+
+    Where that is no JSON, a second parse reads the reply from its first opening to
+    its last closing bracket as a Python literal (``literal_to_json``): apostrophes
+    in texts, ``True``, nested brackets, trailing commas. Junk gives null."""
+    text = F.trim(c)
+    body = F.regexp_extract(text, REPLY_BODY, 1)
+    body = F.when(body == "", text).otherwise(body)
     body = F.regexp_replace(F.regexp_replace(body, "None", "null"), "'", '"')
-    as_array = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
-    return F.from_json(as_array, f"array<{schema}>")
+    span = literal_to_json(F.regexp_extract(text, REPLY_SPAN, 1))
+    return F.coalesce(
+        F.from_json(_record_list(body), f"array<{schema}>"),
+        F.from_json(_record_list(span), f"array<{schema}>", {"allowUnescapedControlChars": "true"}))
 
 
 def records_to_json(*cols: Column) -> Column:
-    """F24 (aggregate): one JSON array text of the given record columns."""
-    return F.to_json(F.collect_list(F.struct(*cols)))
+    """F24 (aggregate): one JSON array text of the given record columns, in the order
+    of their values."""
+    return F.to_json(F.array_sort(F.collect_list(F.struct(*cols))))

@@ -51,13 +51,7 @@ def typed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_all() -> None:
     # query modules register themselves on import
-    from . import queries_format  # noqa: F401
-    for mod in ("queries_stats", "queries_wrangle", "queries_clean", "queries_spatial", "queries_io"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as exc:  # module not written yet
-            if mod not in str(exc):
-                raise
+    from . import queries_clean, queries_format, queries_io, queries_spatial, queries_wrangle  # noqa: F401
 
 
 def all_queries() -> dict[str, QueryFn]:

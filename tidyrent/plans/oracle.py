@@ -52,8 +52,8 @@ def formatted_sql(src: str = "L") -> str:
     ints = {c: _parse_int(f'"{c}"', T.INT_PATTERNS[c]) for c in T.INT_PATTERNS}
 
     def coord(c: str) -> str:
-        d = f"TRY_CAST({c} AS DOUBLE)"
-        return f"CASE WHEN latitud IS NOT NULL AND longitud IS NOT NULL AND NOT isnan({d}) THEN {d} END"
+        both = " AND ".join(f"NOT isnan(TRY_CAST({x} AS DOUBLE))" for x in ("latitud", "longitud"))
+        return f"CASE WHEN {both} THEN TRY_CAST({c} AS DOUBLE) END"
 
     return f"""
     SELECT row_id, descripcion, {ints['fecha_publicacion']} AS fecha_publicacion,

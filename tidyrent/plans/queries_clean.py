@@ -263,7 +263,7 @@ def q_quality_table(spark, sf_dir):
     from .catalog import raw
     report, cfg = Q.QualityReport(), P.Config()
     t = stage(fmt.normalise_prices(P.formatted_stage(raw(spark, sf_dir), report)))
-    P.sale_rent_check(t, report)
+    P.sale_rent_check(t, P.Config(), report)
     P.fill_attributes(t, cfg, report)
     P.drop_critical_nulls(t, report)
     P.price_ratio_check(t, report)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import enrich as E
+from ..operators.sampling import batch_numbers
 from ..session import read_table
 from ..sources import files as S
 from . import format as fmt
@@ -107,7 +108,7 @@ def _classify_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row_id": pdf["row_id"], "propiedad": prop, "propuesta": offer})
 
 
-@register("map_batches", O.with_tables(f"""
+_BATCHED = O.with_tables(f"""
 SELECT row_id,
   CASE WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.APARTMENT_WORDS))}) THEN {_lit(E.APARTMENT)}
        WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.OTHER_PROPERTY_WORDS))}) THEN {_lit(E.NOT_APARTMENT)} END
@@ -116,7 +117,10 @@ SELECT row_id,
         AND regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT_AND_SALE)}
        WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.SALE_WORD))}) THEN {_lit(E.SALE)}
        WHEN regexp_matches(lower(descripcion), {_lit(E.whole_words(E.RENT_WORD))}) THEN {_lit(E.RENT)} END AS propuesta
-FROM L""", upto="L"))
+FROM L""", upto="L")
+
+
+@register("map_batches", _BATCHED)
 def q_map_batches(spark, sf_dir):
     """A pandas provider applied to chunks of 20 records per
     partition (Arrow batches), with retries; failed chunks give no rows."""
@@ -124,6 +128,37 @@ def q_map_batches(spark, sf_dir):
     return E.map_batches(src, _classify_batch, "row_id bigint, propiedad string, propuesta string", batch_size=20)
 
 
+def _refuses_odd_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Stands for a service that is down for some chunks."""
+    if int(pdf["row_id"].sum()) % 2:
+        raise RuntimeError("service is down")
+    return _classify_batch(pdf)
+
+
+@register("resumed_batches", _BATCHED)
+def q_resumed_batches(spark, sf_dir):
+    """A provider that fails for some chunks leaves their requests in the
+    dead-letter table; a second attempt asks for those only, and both give all."""
+    src = raw(spark, sf_dir).select("row_id", "descripcion")
+    letters, schema = S.scratch_dir(spark, "letters"), "row_id bigint, propiedad string, propuesta string"
+    first = E.ask(src, _refuses_odd_chunks, schema, retries=0, dead_letters=letters)
+    second = E.resume(spark, letters, _classify_batch, schema)
+    return first.answers.unionByName(second.answers)
+
+
+@register("batch_requests", f"""
+WITH N AS (SELECT p_partkey, p_brand, CAST((row_number() OVER (ORDER BY p_partkey) - 1) // {_REPLY_BATCH} AS BIGINT) AS batch_id
+           FROM part)
+SELECT batch_id, '[' || string_agg('{{"id":' || p_partkey || ',"marca":"' || p_brand || '"}}', ',' ORDER BY p_partkey) || ']' AS body
+FROM N GROUP BY batch_id""")
+def q_batch_requests(spark, sf_dir):
+    """W10 + F24: consecutive records in batches of 20, each batch as one JSON text."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    numbered = batch_numbers(part, _REPLY_BATCH, order="p_partkey")
+    return numbered.groupBy("batch_id").agg(
+        T.records_to_json(F.col("p_partkey").alias("id"), F.col("p_brand").alias("marca")).alias("body"))
+
+
 @register("json_roundtrip", O.with_tables("SELECT * FROM F", upto="F"))
 def q_json_roundtrip(spark, sf_dir):
     """S9 write (JSON lines, null keys kept) → S1/S3 read → P1 → stage 1."""
@@ -150,7 +185,24 @@ def q_table_overwrite(spark, sf_dir):
     return S.load_table(spark, csv_dir, "listings_clean", S.scratch_dir(spark, "table"), schema)
 
 
-@register("file_listing")
+@register("table_rewrite", "WITH D AS (" + _DOTTED.format(customer="customer") + f""")
+SELECT TRY_CAST(concat(substr(replace(raw_amount, '.', ''), 1, {REPAIR_POSITION}), '.',
+                       substr(replace(raw_amount, '.', ''), {REPAIR_POSITION + 1})) AS DOUBLE) AS raw_amount FROM D""")
+def q_table_rewrite(spark, sf_dir):
+    """A table of mangled numbers is rewritten as a table of its repaired
+    columns only; each is written beside, audited and swapped in."""
+    mangled = spark.sql(_DOTTED, customer=read_table(spark, sf_dir, "customer"))
+    S.replace_table(mangled, "amounts_raw", S.scratch_dir(spark, "table"))
+    return S.rewrite_decimals(spark, "amounts_raw", "amounts_repaired", S.scratch_dir(spark, "table"),
+                              {"raw_amount": REPAIR_POSITION})
+
+
+_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+           "conversations").split()
+
+
+@register("file_listing", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _TABLES))
 def q_file_listing(spark, sf_dir):
-    """The files of the data folder (metadata only)."""
-    return S.list_files(spark, sf_dir, "*.parquet").select("path", "length")
+    """The data files of the folder and the rows they hold, by table."""
+    return S.table_rows(spark, sf_dir)
