@@ -104,6 +104,32 @@ def test_url_templates(spark):
     assert urls.judge(spark.createDataFrame([], "page_id bigint, url string"), rules).count() == 0
 
 
+def test_unlabelled_branches_inherit_by_structure(spark):
+    """op9's own rules reject pages that none of them fits: those built like the blocked."""
+    from tidyrent.llm.queries import URL_RULES
+
+    urls_of = [f"https://shop.net/{lang}/{i}/a{i % 2}.html" for lang in ("es", "fr") for i in range(60)]
+    alike = [f"https://shop.net/{lang}/{i}/a{i % 2}.html" for lang in ("de", "pt") for i in range(20)]
+    other = [f"https://shop.net/about/team/{i}" for i in range(20)] + ["https://shop.net/", "https://shop.net/de"]
+    elsewhere = [f"https://blog.net/{lang}/{i}/a.html" for lang in ("de", "pt") for i in range(20)]
+    good = [f"https://shop.com/{i}" for i in range(400)]
+    rows = list(enumerate(urls_of + alike + other + elsewhere + good))
+    got = {r.url: r for r in urls.judge(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES)
+           .join(spark.createDataFrame(rows, "page_id bigint, url string"), "page_id").collect()}
+    assert {got[u].rule for u in urls_of} == {"net/es/", "net/fr/"}
+    assert {(got[u].rule, got[u].verdict, got[u].template.split("/")[1]) for u in alike} == {(None, "block", "*")}
+    assert {(got[u].rule, got[u].verdict) for u in other + elsewhere} == {(None, "allow")}
+
+
+def test_segments_beyond_the_depth_are_judged(spark):
+    deep = "/".join("abcdefgh")
+    rows = [(i, f"http://h.x/{deep}/{'bad' if i % 2 else 'good'}/{i}/z") for i in range(80)]
+    assert {r.s[-1] for r in spark.createDataFrame(rows, "i int, url string").select(urls.shapes(urls.split_url(F.col("url"))[1]).alias("s")).collect()} == {"bad/{n}/z", "good/{n}/z"}
+    rules = [("allow", "h.x", "/"), ("block", "h.x", f"/{deep}/bad/")]
+    got = urls.judge(spark.createDataFrame(rows, "page_id int, url string"), rules).collect()
+    assert len({r.template for r in got}) == 2
+
+
 def test_bad_templates_are_rejected_beyond_the_rule(spark):
     rows = [(k, f"http://h.net/a/{k}") for k in range(60)] + [(60 + k, f"http://h.net/b/{k}") for k in range(60)] + [(500, "http://h.net/a/77x")]
     rules = [("block", "net", "/a/1"), ("block", "net", "/a/2"), ("block", "net", "/a/3"), ("allow", "net", "/b/")]

@@ -79,9 +79,16 @@ b{k} AS (SELECT host, template, shape[{k}] AS branch, sum(labels) AS l, sum(bad)
 g{k} AS (SELECT host, template, sum(b) / nullif(sum(l), 0) AS p FROM b{k} GROUP BY ALL),
 m{k} AS (SELECT host, template, branch FROM b{k} JOIN g{k} USING (host, template)
          WHERE l >= {urls.MIN_LABELS} AND abs(b - l * p) <= {urls.Z} * sqrt(l * p * (1 - p)) + 0.5),
-t{k} AS (SELECT t.host, t.shape, labels, bad, CASE WHEN len(t.shape) < {k} THEN t.template
+e{k} AS (SELECT DISTINCT t.host, t.template, t.shape[{k + 1}:] AS below FROM t{k - 1} t
+         JOIN m{k} m ON t.host = m.host AND t.template = m.template AND t.shape[{k}] = m.branch),
+q{k} AS (SELECT * FROM m{k} UNION ALL
+         SELECT b.host, b.template, b.branch FROM b{k} b
+         JOIN t{k - 1} t ON t.host = b.host AND t.template = b.template AND t.shape[{k}] = b.branch
+         LEFT JOIN e{k} e ON e.host = t.host AND e.template = t.template AND e.below = t.shape[{k + 1}:]
+         WHERE b.l < {urls.MIN_LABELS} GROUP BY ALL HAVING sum(t.n) >= {urls.MIN_LABELS} AND 2 * sum(CASE WHEN e.host IS NULL THEN 0 ELSE t.n END) >= sum(t.n)),
+t{k} AS (SELECT t.host, t.shape, n, labels, bad, CASE WHEN len(t.shape) < {k} THEN t.template
                 WHEN m.branch IS NULL THEN t.template || '/' || t.shape[{k}] ELSE t.template || '/*' END AS template
-         FROM t{k - 1} t LEFT JOIN m{k} m ON t.host = m.host AND t.template = m.template AND t.shape[{k}] = m.branch)""")
+         FROM t{k - 1} t LEFT JOIN q{k} m ON t.host = m.host AND t.template = m.template AND t.shape[{k}] = m.branch)""")
     last = f"t{urls.MAX_DEPTH + 1}"
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -91,10 +98,11 @@ rules(place, verdict, rhost, rpath) AS (VALUES {values}),
 f AS (SELECT page_id, arg_max({{'rule': rhost || rpath, 'verdict': verdict}}, (length(rhost) + length(rpath)) * 1000 + place) AS fit
       FROM s JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id),
 parts AS (SELECT page_id, host, path, string_split(regexp_replace(path, '^/', ''), '/') AS p FROM s),
-shaped AS (SELECT page_id, host, path, [CASE WHEN length(x) >= 16 AND regexp_matches(x, '^[0-9A-Za-z_-]*[0-9][0-9A-Za-z_-]*$') AND regexp_matches(x, '[A-Za-z]')
-                  THEN '{{id}}' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END
-                  FOR x IN CASE WHEN len(p) > {urls.MAX_DEPTH} THEN list_append(p[1:{urls.MAX_DEPTH}], '**') ELSE p END] AS shape FROM parts),
-t0 AS (SELECT host, shape, count(fit) AS labels, count(*) FILTER (fit.verdict = 'block') AS bad, '' AS template
+pieces AS (SELECT page_id, host, path, [CASE WHEN length(x) >= 16 AND regexp_matches(x, '^[0-9A-Za-z_-]*[0-9][0-9A-Za-z_-]*$') AND regexp_matches(x, '[A-Za-z]')
+                  THEN '{{id}}' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END FOR x IN p] AS p FROM parts),
+shaped AS (SELECT page_id, host, path, CASE WHEN len(p) > {urls.MAX_DEPTH}
+                  THEN list_append(p[1:{urls.MAX_DEPTH}], array_to_string(p[{urls.MAX_DEPTH + 1}:], '/')) ELSE p END AS shape FROM pieces),
+t0 AS (SELECT host, shape, count(*) AS n, count(fit) AS labels, count(*) FILTER (fit.verdict = 'block') AS bad, '' AS template
        FROM shaped LEFT JOIN f USING (page_id) GROUP BY host, shape),{",".join(steps)},
 total AS (SELECT (sum(labels) - sum(bad) + 1) / (sum(labels) + 2) AS good FROM t0),
 pure AS (SELECT host, template, (sum(labels) - sum(bad) + {urls.STRENGTH} * any_value(good)) / (sum(labels) + {urls.STRENGTH}) AS purity

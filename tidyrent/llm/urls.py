@@ -4,15 +4,17 @@ A URL is split into host and path. Curated rules ``(verdict, host, path)`` fit a
 host and its subdomains and paths with that prefix; the longest rule decides.
 
 What no rule decides is judged by its host's path templates. Path segments become
-shapes: runs of digits are ``{n}``, long mixed identifiers ``{id}``; segments beyond
-``max_depth`` share one ``**``. Per host the shapes form a tree, walked level by
-level from grouped counts: sibling branches whose share of bad labels does not
-differ significantly from their parent's pooled share are merged into one
-wildcard branch; branches without enough labels of their own stay apart, as
-nothing is known about them. A template's purity is its share of good labels,
-smoothed towards the share of all labels; templates below ``min_purity`` are
-rejected. Labels come from any table; the rules' own verdicts serve as labels
-here, so a template is rejected only on evidence within its host.
+shapes: runs of digits are ``{n}``, long mixed identifiers ``{id}``; the tree has
+``max_depth`` levels, and all shapes beyond them are together one segment of a last
+level. Per host the shapes form a tree, walked level by level from grouped counts:
+sibling branches whose share of bad labels does not differ significantly from their
+parent's pooled share are merged into one wildcard branch. A branch with too few
+labels of its own, but as many URLs, is judged by structure: it joins the wildcard
+if at least half of its URLs continue below it in a way that a merged sibling's do.
+Other branches stay apart. A template's purity is its share of good labels, smoothed towards the
+share of all labels; templates below ``min_purity`` are rejected. Labels come from
+any table; the rules' own verdicts serve as labels here, so a template is rejected
+only on evidence within its host.
 
 URLs are first counted per host and shape, so a host or template of a third of
 all rows is one row in the tree; only DataFrame functions are used.
@@ -60,14 +62,14 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
 
 
 def shapes(path: Column, max_depth: int = MAX_DEPTH) -> Column:
-    """Generalised segments of a path, at most ``max_depth`` and a ``**``."""
+    """Generalised segments of a path: ``max_depth``, and what is beyond as one."""
     def shape(s: Column) -> Column:
         mixed = (F.char_length(s) >= 16) & s.rlike(r"^[0-9A-Za-z_-]*[0-9][0-9A-Za-z_-]*$") & s.rlike("[A-Za-z]")
         return F.when(mixed, "{id}").otherwise(F.regexp_replace(s, "[0-9]+", "{n}"))
 
-    parts = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    cut = F.when(F.size(parts) > max_depth, F.concat(F.slice(parts, 1, max_depth), F.array(F.lit("**")))).otherwise(parts)
-    return F.transform(cut, shape)
+    parts = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), shape)
+    deep = F.array_join(F.slice(parts, max_depth + 1, F.greatest(F.size(parts) - max_depth, F.lit(0))), "/")
+    return F.when(F.size(parts) > max_depth, F.concat(F.slice(parts, 1, max_depth), F.array(deep))).otherwise(parts)
 
 
 def template_tree(counted: DataFrame, depth: int, min_labels: int = MIN_LABELS, z: float = Z) -> DataFrame:
@@ -77,12 +79,13 @@ def template_tree(counted: DataFrame, depth: int, min_labels: int = MIN_LABELS,
     for level in range(1, depth + 1):
         here = tree.withColumn("branch", F.get("shape", F.lit(level - 1)))
         branches = here.where("branch is not null").groupBy("host", "template", "branch").agg(
-            F.sum("labels").alias("l"), F.sum("bad").alias("b"))
+            F.sum("n").alias("n"), F.sum("labels").alias("l"), F.sum("bad").alias("b"))
         pooled = branches.groupBy("host", "template").agg(F.try_divide(F.sum("b"), F.sum("l")).alias("p"))
         merged = branches.join(pooled, ["host", "template"]).where(
             (F.col("l") >= min_labels)
             & (F.abs(F.col("b") - F.col("l") * F.col("p")) <= z * F.sqrt(F.col("l") * F.col("p") * (1 - F.col("p"))) + 0.5))
-        merged = merged.select("host", "template", "branch", F.lit("*").alias("wild"))
+        merged = merged.select("host", "template", "branch")
+        merged = merged.unionByName(_alike(here, branches.where((F.col("l") < min_labels) & (F.col("n") >= min_labels)), merged, level)).withColumn("wild", F.lit("*"))
         tree = here.join(merged, ["host", "template", "branch"], "left").withColumn(
             "template", F.when(F.col("branch").isNull(), F.col("template"))
             .otherwise(F.concat("template", F.lit("/"), F.coalesce("wild", "branch")))).drop("branch", "wild")
@@ -91,6 +94,17 @@ def template_tree(counted: DataFrame, depth: int, min_labels: int = MIN_LABELS,
     return tree
 
 
+def _alike(here: DataFrame, few: DataFrame, merged: DataFrame, level: int) -> DataFrame:
+    """Branches of ``few`` at least half of whose URLs go on below ``level`` as some
+    URL of a ``merged`` sibling does."""
+    keys = ["host", "template", "branch"]
+    below = here.where("branch is not null").select(*keys, "n", F.slice("shape", level + 1, F.size("shape")).alias("below"))
+    seen = below.join(merged, keys, "left_semi").select("host", "template", "below").distinct().withColumn("seen", F.lit(True))
+    found = below.join(few, keys, "left_semi").join(seen, ["host", "template", "below"], "left")
+    return (found.groupBy(*keys).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("seen"), F.col("n")).otherwise(0)).alias("known"))
+            .where(2 * F.col("known") >= F.col("all")).select(*keys))
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
           max_depth: int = MAX_DEPTH, min_purity: float = MIN_PURITY, strength: float = STRENGTH) -> DataFrame:
     """``page_id, host, path, rule, verdict, template, purity`` of every page."""
