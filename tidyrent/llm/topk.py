@@ -13,7 +13,8 @@ the smaller id. No score is computed for any row but those that are returned.
 
 Every row is indexed and every block is searched, so recall is 1. Work per query
 and block is fixed by the bits, whatever the values. Queries travel to blocks
-in bounded batches; a task sees one batch and one block at a time.
+in bounded batches, ``DEAL`` of them to a task and block, so that no block is a hot
+key; a task sees one batch and one block at a time.
 
 Defined results: a vector that is null or holds null or non-finite components
 takes no part, neither as query nor as candidate; an empty vector takes part
@@ -39,6 +40,8 @@ from .common import stage
 
 BLOCK_ROWS = 32_768
 BATCH = 64
+#: batches that one task holds against one block, about
+DEAL = 64
 
 INDEX = "block int, n int, vec_ids binary, dims string, slices binary"
 BATCHES = "batch bigint, vec_ids binary, sizes binary, vectors binary"
@@ -206,6 +209,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: float, id_col: st
     ``is_query`` selects, its ``k`` rows of highest integer inner product."""
     index, n_blocks = build_index(vectors, scale, id_col, vector_col, block_rows)
     batches = query_batches(vectors.where(is_query), scale, id_col, vector_col)
+    deals = -(-max(1, batches.count()) // DEAL)  # so many tasks share a block's queries
+    batches = batches.withColumn("deal", F.pmod(F.xxhash64("batch"), F.lit(deals)).cast("int"))
     batches = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
 
     def search(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,7 +225,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: float, id_col: st
                 hits = [(int(i), xxhash.xxh64_intdigest(q.tobytes()) >> 1, v, s) for i, q in zip(ids, np.split(flat, ends[:-1]), strict=True) for v, s in block.search(int(i), q, k)]
                 yield pd.DataFrame(hits, columns=["query_id", "query_hash", "vec_id", "score"])
 
-    pairs = batches.join(index.withColumnRenamed("vec_ids", "row_ids"), "block")
+    blocks = index.withColumnRenamed("vec_ids", "row_ids").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    pairs = batches.join(blocks, ["block", "deal"])
     hits = pairs.mapInPandas(search, HITS)
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
