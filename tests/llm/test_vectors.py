@@ -62,6 +62,38 @@ def test_cover_tree(spark, threshold, chunk):
     assert cover_tree.near_duplicates(spark.createDataFrame([], SCHEMA), threshold).count() == 0
 
 
+def test_leaves_are_small_and_far_ones_never_meet(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 16))
+    rows = [(k, [float(x) for x in centres[k % 40] + rng.normal(size=16) * 0.05], 1, "x") for k in range(2000)]
+    rows += [(5000 + k, [float((k + 1) * x) for x in centres[0]], 1, "x") for k in range(300)]  # one direction, no way to part them
+    _, points = cover_tree.points_of(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", "label")
+    leaves, pairs = cover_tree.leaves_of(points, 0.93, pivots=4, chunk=16)
+    sizes = {r.path: r["count"] for r in leaves.groupBy("path").count().collect()}
+    assert sum(sizes.values()) == points.count() == leaves.select("pid").distinct().count() and max(sizes.values()) <= 16
+    met = {(r.path_a, r.path_b) for r in pairs.collect()}
+    assert len(met) == pairs.count() and {(p, p) for p in sizes} <= met
+    share = len(met) / (len(sizes) * (len(sizes) + 1) / 2)
+    assert share < 0.25, share
+    v = {r.path: np.array([x.vector for x in leaves.where(F.col("path") == r.path).collect()]) for r in leaves.select("path").distinct().limit(12).collect()}
+    for a in v:  # brute force over a few leaves: no pair of leaves with a link is left out
+        for b in v:
+            if a < b and (cover_tree._unit(v[a]) @ cover_tree._unit(v[b]).T).max() >= 0.93:
+                assert (a, b) in met or (b, a) in met
+
+
+@pytest.mark.parametrize("deal", [1, 64])
+def test_top_k_is_the_same_however_queries_are_dealt(spark, deal, monkeypatch):
+    monkeypatch.setattr(topk, "DEAL", deal)
+    monkeypatch.setattr(topk, "BATCH", 2)
+    rows = rows_of(4, 200)
+    got = topk.top_k(spark.createDataFrame(rows, SCHEMA).repartition(3), F.col("vec_id") % 10 == 0, 3, 256.0, block_rows=50)
+    q = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, *_ in rows if i is not None and finite(v)]
+    expected = {(i, k + 1, j, -s) for i, a in q if i % 10 == 0
+                for k, (s, j) in enumerate(sorted((-sum(x * y for x, y in zip(a, b, strict=False)), j) for j, b in q if j != i)[:3])}
+    assert {tuple(r) for r in got.collect()} == expected
+
+
 def test_tree_levels_cover_and_nest():
     unit = cover_tree._unit(np.random.default_rng(3).normal(size=(200, 5)))
     tree = cover_tree.Tree(unit)

@@ -1,14 +1,16 @@
 """Embedding near-dedup: exact threshold pairs by dual traversal of cover trees.
 
 Vectors of one label are scaled to unit length, where cosine >= ``threshold``
-means distance <= ``t``. Equal vectors are first one weighted point. Points are
-dealt to *cells* around pivots of their label (pivots: a sample of ``PIVOTS``
-points; every point goes to its nearest one) and cells are cut into even chunks
-of about ``CHUNK`` points. A task builds one chunk's cover tree: nested levels whose
-radii halve, each node with the true covering radius of its points.
-
-Pairs of chunks whose balls come within ``t`` are joined, and a task traverses
-the two trees together: a node pair is pruned when centre distance less both
+means distance <= ``t``. Equal vectors are first one weighted point. The tree's
+upper levels are made by Spark: a label's points are one cell, and a cell with more
+than ``CHUNK`` points is split around ``PIVOTS`` of its own, level by level, until
+each leaf is a compact cell of at most ``CHUNK`` points. Pairs of cells descend with
+the levels: a pair goes on to the pairs of its children only if their balls come
+within ``t``. A task builds one leaf's cover tree: nested levels whose radii halve,
+each node with the true covering radius of its points.
+
+Trees of the pairs of leaves that remain are joined, and a task traverses the two
+together: a node pair is pruned when centre distance less both
 radii exceeds ``t``, linked as a whole when centre distance plus both radii is
 below ``t``, and else replaced by the pairs of its children; pairs of points are
 decided by their cosine in double precision. Tasks return counts of links per
@@ -27,23 +29,27 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.cluster import connected_components
-from .common import stage
+from .common import small_side, stage
 
 PIVOTS = 16
 CHUNK = 1024
+#: rows of a cell that are dealt to its pivots at once, about
+PART = 8192
 #: distances are good to about 1e-8; within this margin bounds decide nothing
 SLACK = 1e-6
 
 KEY = ["label", "dim"]
-TREE = ("label string, dim int, centre array<double>, radius double, pids binary, weights binary, vectors binary,"
+CELLED = "label string, dim int, parent string, path string, pid bigint, w bigint, vector array<double>, dist double"
+TREE = ("label string, dim int, path string, pids binary, weights binary, vectors binary,"
         "levels array<struct<centre:binary,radius:binary,parent:binary>>")
 LINKS = "pid bigint, other bigint, n bigint"
 
@@ -248,34 +254,83 @@ def points_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
     return rows, stage(points.withColumn("pid", F.monotonically_increasing_id()), "cover-points")
 
 
-def _chunked(points: DataFrame, pivots: int, chunk: int) -> DataFrame:
-    """Points with the chunk of the cell they belong to."""
-    first = Window.partitionBy(*KEY).orderBy(F.xxhash64("pid"), "pid")
-    sample = (points.withColumn("k", F.row_number().over(first)).where(F.col("k") <= pivots)
-              .groupBy(*KEY).agg(F.collect_list("vector").alias("pivots")))
+def _centre(vector: str) -> Column:
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(vector, lambda x: x / norm)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            cell = np.zeros(len(pdf), dtype=np.int64)
-            pdf = pdf.reset_index(drop=True)
-            for _, own in pdf.groupby(KEY):
-                centres = _unit(np.array([list(p) for p in own["pivots"].iloc[0]], dtype=np.float64))
-                cell[own.index] = np.argmax(_unit(np.array(own["vector"].tolist(), dtype=np.float64)) @ centres.T, axis=1)
-            yield pdf.drop(columns="pivots").assign(cell=cell)
 
-    schema = "label string, dim int, pid bigint, w bigint, vector array<double>, cell bigint"
-    celled = points.join(sample, KEY).select(*KEY, "pid", "w", "vector", "pivots").mapInPandas(assign, schema)
-    celled = stage(celled, "cover-cells")
-    sizes = celled.groupBy(*KEY, "cell").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
-    return celled.join(sizes, [*KEY, "cell"]).withColumn("chunk", F.pmod(F.xxhash64("pid"), "chunks")).drop("chunks")
+def leaves_of(points: DataFrame, threshold: float, pivots: int = PIVOTS, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """``(leaves, pairs)``: points with the ``path`` of their leaf, which has ``chunk``
+    points at most, and the pairs of leaves (``path_a``, ``path_b``) whose balls and
+    whose ancestors' balls come within the threshold's distance, each leaf with itself
+    among them.
+
+    A cell with more points than ``chunk`` is split around ``pivots`` of its points, a
+    point goes to the nearest (to one of those that lie in the same direction, by hash),
+    so every split makes progress. A cell is met in parts of ``PART`` rows or so."""
+    t = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+    cell = [*KEY, "path"]
+    at = points.select(*KEY, F.lit("0").alias("path"), "pid", "w", "vector")
+    nodes = stage(at.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).withColumns({
+        "parent": F.col("path"), "centre": F.lit(None).cast("array<double>"), "radius": F.lit(None).cast("double")}), "cover-cells")
+    pairs = nodes.select(*KEY, F.col("path").alias("path_a"), F.col("path").alias("path_b"), *[(F.col("n") <= chunk).alias(f"shut_{s}") for s in "ab"])
+    leaves, done, shut = [], [], []
+    level = 0
+
+    def assign(own: pd.DataFrame, picked: pd.DataFrame) -> pd.DataFrame:
+        if not len(own):
+            return pd.DataFrame(columns=[*KEY, "parent", "path", "pid", "w", "vector", "dist"])
+        picked = picked.sort_values("k")
+        dots = _unit(np.array(own["vector"].tolist(), dtype=np.float64)) @ np.array(picked["centre"].tolist(), dtype=np.float64).T
+        best = dots.max(axis=1)
+        same = dots >= best[:, None] - 1e-12
+        turn = own["turn"].to_numpy() % same.sum(axis=1) + 1
+        place = ((np.cumsum(same, axis=1) == turn[:, None]) & same).argmax(axis=1)
+        return own[[*KEY, "path", "pid", "w", "vector"]].rename(columns={"path": "parent"}).assign(
+            path=picked["child"].to_numpy()[place], dist=np.sqrt(np.maximum(0.0, 2.0 - 2.0 * best)))
+
+    while True:
+        done.append(pairs.where("shut_a and shut_b").select(*KEY, "path_a", "path_b"))
+        pairs = pairs.where("not (shut_a and shut_b)")
+        small, crowded = nodes.where(F.col("n") <= chunk), nodes.where(F.col("n") > chunk)
+        leaves.append(at.join(small_side(small.select(*cell), "cover-small"), cell, "left_semi").select(*cell, "pid", "w", "vector"))
+        if crowded.isEmpty():
+            break
+        shut.append(small.withColumn("parent", F.col("path")))
+        parts = small_side(crowded.select(*cell, F.ceil(F.col("n") / PART).cast("int").alias("parts")), "cover-crowded")
+        rows = at.join(parts, cell).withColumns({
+            "part": F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int"),
+            "turn": F.pmod(F.xxhash64("pid", F.lit(-1 - level)), F.lit(1 << 30))})
+        first = Window.partitionBy(*cell).orderBy(F.xxhash64("pid", F.lit(level)), "pid")
+        chosen = stage(rows.select(*cell, "pid", "vector", "parts").withColumn("k", F.row_number().over(first)).where(F.col("k") <= pivots)
+                       .select(*cell, "k", F.concat_ws(".", "path", "k").alias("child"), _centre("vector").alias("centre"), "parts"), "cover-pivots")
+        met = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        key = [*cell, "part"]
+        at = stage(rows.groupBy(*key).cogroup(met.groupBy(*key)).applyInPandas(assign, CELLED), "cover-level")
+        sizes = at.groupBy(*cell, "parent").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius"))
+        nodes = stage(sizes.join(chosen.select(*KEY, F.col("child").alias("path"), "centre"), cell), "cover-cells")
+        columns = [*KEY, "parent", "path", "n", "centre", "radius"]
+        front = nodes.select(*columns)
+        for old in shut:
+            front = front.unionByName(old.select(*columns))
+        front = stage(front, "cover-front")
+        one, two = (front.select(*KEY, F.col("parent").alias(f"path_{s}"), F.col("path").alias(f"kid_{s}"), (F.col("n") <= chunk).alias(f"shut_{s}"),
+                                 F.col("centre").alias(f"centre_{s}"), F.col("radius").alias(f"radius_{s}")) for s in "ab")
+        squares = F.zip_with("centre_a", "centre_b", lambda x, y: (x - y) * (x - y))
+        apart = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda x, y: x + y))
+        near = (F.col("kid_a") == F.col("kid_b")) | (apart - F.col("radius_a") - F.col("radius_b") <= t + SLACK)
+        once = (F.col("path_a") != F.col("path_b")) | (F.col("kid_a") <= F.col("kid_b"))
+        pairs = stage(pairs.drop("shut_a", "shut_b").join(one, [*KEY, "path_a"]).join(two, [*KEY, "path_b"]).where(once & near)
+                      .select(*KEY, F.col("kid_a").alias("path_a"), F.col("kid_b").alias("path_b"), "shut_a", "shut_b"), "cover-pairs")
+        level += 1
+    return reduce(DataFrame.unionByName, leaves), reduce(DataFrame.unionByName, done)
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     raw = np.array(pdf["vector"].tolist(), dtype=np.float64)
     tree = Tree(_unit(raw))
-    centre, radius, _ = tree.levels[0]
     return pd.DataFrame([{
-        "label": pdf["label"].iloc[0], "dim": int(pdf["dim"].iloc[0]), "centre": tree.unit[centre[0]], "radius": float(radius[0]),
+        "label": pdf["label"].iloc[0], "dim": int(pdf["dim"].iloc[0]), "path": pdf["path"].iloc[0],
         "pids": pdf["pid"].to_numpy("<i8").tobytes(), "weights": pdf["w"].to_numpy("<i8").tobytes(),
         "vectors": raw.astype("<f8").tobytes(),
         "levels": [{"centre": c.astype("<i8").tobytes(), "radius": r.astype("<f8").tobytes(), "parent": p.astype("<i8").tobytes()} for c, r, p in tree.levels],
@@ -291,25 +346,18 @@ def _tree(row, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, Tree]:
 def link_points(points: DataFrame, threshold: float, pivots: int = PIVOTS, chunk: int = CHUNK) -> DataFrame:
     """Staged rows of two kinds: ``(pid, null, n)``, links of a point by weight as
     one task saw them, and ``(pid, other, 0)``, a link of a spanning forest."""
-    chunks = _chunked(points, pivots, chunk)
-    trees = stage(chunks.groupBy(*KEY, "cell", "chunk").applyInPandas(_build, TREE)
-                  .withColumn("tree", F.monotonically_increasing_id()), "cover-trees")
-    t = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    heads = trees.select("tree", *KEY, "centre", "radius")
-    one, two = ([F.col(c).alias(f"{c}_{s}") for c in ("tree", "centre", "radius")] for s in "ab")
-    squares = F.zip_with("centre_a", "centre_b", lambda x, y: (x - y) * (x - y))
-    apart = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda x, y: x + y))
-    near = (heads.select(*KEY, *one).join(heads.select(*KEY, *two), KEY)
-            .where((F.col("tree_a") <= F.col("tree_b")) & (apart - F.col("radius_a") - F.col("radius_b") <= t + SLACK)))
+    leaves, near = leaves_of(points, threshold, pivots, chunk)
+    trees = stage(leaves.groupBy(*KEY, "path").applyInPandas(_build, TREE), "cover-trees")
     body = ["pids", "weights", "vectors", "levels"]
-    side = {s: trees.select(F.col("tree").alias(f"tree_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in body]) for s in "ab"}
-    pairs = near.select("dim", "tree_a", "tree_b").repartition("tree_a", "tree_b").join(side["a"], "tree_a").join(side["b"], "tree_b")
+    side = {s: trees.select(*KEY, F.col("path").alias(f"path_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in body]) for s in "ab"}
+    pairs = (near.repartition(*KEY, "path_a", "path_b").join(side["a"], [*KEY, "path_a"]).join(side["b"], [*KEY, "path_b"])
+             .drop("label"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 pids, w, raw, tree = _tree(row, "a")
-                if row.tree_a == row.tree_b:
+                if row.path_a == row.path_b:
                     links = Links(w)
                     traverse(tree, tree, raw, raw, threshold, links, 0)
                 else:
