@@ -182,3 +182,92 @@ def test_texts_in_no_known_language_are_rejected(spark, small_dir):
     out = langid.identify(known.unionByName(rows), "text", F.col("lang"), F.lit(None), F.col("source"))
     assert out.where("doc_id < 0 and __lid_kept").count() == 0
     assert out.where("doc_id >= 0 and n_chars > 20").agg(F.avg(F.col("__lid_kept").cast("double"))).first()[0] >= 0.99
+
+
+def _by_hand(rows, langs, model, limits):
+    """Posteriors of (id, text, declared, host) rows, one by one, from the text model."""
+    n, s, mixture = len(langs), langid.SMOOTHING, langid._mixture(model)
+
+    def text_of(t):
+        if t is None or not any(map(str.isalpha, t)):
+            return None, None
+        codes = langid._codes(t)
+        own = codes[langid._of_letters(t)]
+        mean = model[:, codes].astype(np.float64).mean(axis=1) * min(langid.EVIDENCE, len(codes))
+
+        def fits(k):
+            middle, deviation, single = limits[k]
+            return not len(own) or mixture[own].astype(np.float64).mean() >= middle - langid.LIMIT * np.sqrt(deviation**2 + single**2 / len(own))
+
+        return mean, fits
+
+    texts = [text_of(t) for _, t, _, _ in rows]
+    votes = [(host, said, int(np.argmax(x))) for (x, fits), (_, _, said, host) in zip(texts, rows, strict=True) if x is not None and fits(int(np.argmax(x)))]
+
+    def among(test):
+        return np.bincount([g for h, d, g in votes if test(h, d)], minlength=n).astype(float)
+
+    base = among(lambda h, d: h is not None)
+    base = (base + 1) / (base.sum() + n)
+    said_all = among(lambda h, d: d is not None)
+    out = {}
+    for (i, _, said, host), (x, fits) in zip(rows, texts, strict=True):
+        total = np.zeros(n) if x is None else x.copy()
+        if host is not None and any(h == host for h, _, _ in votes):
+            prior = base
+            for depth in (1, 2, 99):
+                key = host.split(".")[-depth:]
+                c = among(lambda h, d, key=key, depth=depth: h is not None and h.split(".")[-depth:] == key)
+                prior = (c + s * prior) / (c.sum() + s)
+            total += np.log(prior)
+        c = among(lambda h, d: d == said) if said is not None else np.zeros(n)
+        if c.sum():
+            total += np.log((c + s * c.sum() / said_all.sum()) / (said_all + s))
+        p = 1 / np.exp(total - total.max()).sum()
+        k = int(np.argmax(total))
+        out[i] = (langs[k], p, x is not None and p >= langid.MIN_POSTERIOR and bool(fits(k)))
+    return out
+
+
+def test_posteriors_against_brute_force(spark, small_dir, make_docs):
+    some = spark.read.parquet(f"{small_dir}/documents.parquet").orderBy("doc_id").limit(150).collect()
+    cuts, hosts, said = [0, 3, 9, 40, 100_000], ["a.x.co", "b.x.co", "c.de", "d", None], {0: None, 1: "zz", 2: "qq"}
+    rows = [(k, None if r.text is None else r.text[: cuts[k % 5]], said.get(k % 7, r.lang), hosts[(k * 7 + len(r.lang or "")) % 5]) for k, r in enumerate(some)]
+    docs = make_docs(rows)
+    langs, model, limits = langid.fit_with_limits(docs, "text", F.col("lang"))
+    assert {"zz", "qq"} <= set(langs)
+    expected = _by_hand(rows, langs, model, limits)
+    got = {r.doc_id: r for r in langid.identify(docs, "text", F.col("lang"), F.lit(None), F.col("source")).collect()}
+    for i, (lang, p, kept) in expected.items():
+        assert np.isclose(got[i]["__lid_posterior"], p, rtol=1e-6), (i, got[i], expected[i])
+        assert p < 0.5 + 1e-6 or got[i]["__lid_lang"] == lang
+        assert abs(p - langid.MIN_POSTERIOR) < 1e-6 or got[i]["__lid_kept"] == kept
+
+
+def test_more_than_64_labels(spark, make_docs):
+    rng = np.random.default_rng(5)
+    labels = [a + b for a in "abcdefghi" for b in "klmnopqr"][:70]
+    words = {x: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(30)] for x in labels}
+    rows = [(100 * k + j, " ".join(rng.choice(words[x], 25)), x if j < 9 else None, None) for k, x in enumerate(labels) for j in range(12)]
+    rows += [(10_000 + j, " ".join(rng.choice(words["ak"], 25)), "ak", None) for j in range(400)]  # a label that holds a third of all rows
+    got = langid.identify(make_docs(rows), "text", F.col("lang"), F.lit(None), F.col("source")).where("doc_id < 10000").collect()
+    right = [r["__lid_lang"] == labels[r.doc_id // 100] for r in got]
+    assert len(got) == 840 and np.mean(right) > 0.98 and np.mean([r["__lid_kept"] for r in got]) > 0.95
+
+
+def test_country_suffixes_each_count_for_themselves(spark):
+    votes = [("at", 0, 90), ("mx", 1, 90), ("uk", 2, 90), ("uk", 0, 10)]
+    df = spark.createDataFrame(votes, "address string, guess int, n bigint")
+    got = {r.address: np.exp(r.evidence) for r in langid.likelihoods(df, "address", ["de", "es", "en"]).collect()}
+    assert [int(np.argmax(got[c])) for c in ("at", "mx", "uk")] == [0, 1, 2]
+    assert np.isclose(got["uk"][0], (10 + 8 * 100 / 280) / 108) and np.allclose(sum(got.values()), 1)
+
+
+def test_language_of_pages(spark, small_dir):
+    from tidyrent.llm import queries
+
+    rows = queries.op5_language_id(spark, small_dir)
+    pages = rows.where("page_id is not null").collect()
+    assert len(pages) == spark.read.parquet(f"{small_dir}/pages.parquet").count() and all(r.doc_id is None for r in pages)
+    known = [r for r in pages if r.declared and r.kept]
+    assert known and np.mean([r.language == r.declared[:2].lower() for r in known]) > 0.9
