@@ -120,3 +120,26 @@ def test_plan_places_all_and_fills_exactly(seed):
 def test_exact_complements_are_used():
     assert sum(n for _, n in packing.plan({60: 2, 40: 1, 25: 1, 15: 1}, 100)) == 2
     assert sum(n for _, n in packing.plan({50: 3, 30: 2, 10: 5, 20: 2}, 100)) == 3
+
+
+@pytest.mark.parametrize("span_rows", [None, 2])
+def test_spans_without_bound_and_ids_of_any_size(spark, make_docs, span_rows):
+    rows = [(2**60 + k, "word " * (k * 7 % 50), "en", "a") for k in range(260)] + [(None, "a b", "en", "a"), (None, "x " * 300, "en", "a")]
+    docs = make_docs(rows).coalesce(1)
+    got = packing.pack_documents(docs, PATH, 0, 64, span_rows=span_rows).collect()
+    assert {r.doc_id for r in got} == {i for i, *_ in rows}
+    if span_rows:
+        at = {i: k for k, (i, *_) in enumerate(rows)}
+        spans = {(r.sequence_id >> 32, at[r.doc_id] // 2) for r in got if r.doc_id is not None}
+        assert {a for a, _ in spans} == set(range(130)) and all(a == b for a, b in spans)
+        assert {r.sequence_id >> 32 for r in got if r.doc_id is None} == {130}
+    for s in {r.sequence_id for r in got}:
+        own = sorted((r.offset, r.length) for r in got if r.sequence_id == s)
+        assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 64
+
+
+def test_parts_of_a_span_meet_its_plan(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "PART", 8)
+    rows = [(k, "word " * (k * 13 % 70), "en", "a") for k in range(300)]
+    got = packing.pack_documents(make_docs(rows), PATH, 0, 64, span_rows=300).toPandas()
+    check_packed([(i, t) for i, t, *_ in rows], 64, got)

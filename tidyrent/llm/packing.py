@@ -12,10 +12,11 @@ bounded size (counts per chunk, prefix sums over the chunks), and a piece's rank
 says which pattern, sequence and place it takes. No group of equal lengths is
 ever gathered, and no piece is moved by the driver.
 
-With ``span_rows`` the rows' order counts: spans of that many rows, or of the least
-multiple that makes ``MOST_SPANS`` spans at most, are packed each on its own, so a
-span's sequences hold its rows only and come before the next span's; within a span
-pieces of equal length are placed in the rows' order. The order is the one in
+With ``span_rows`` the rows' order counts: spans of that many rows, however many
+there are, are planned and packed each on its own, in tasks, so a span's sequences
+hold its rows only and come before the next span's; within a span pieces of equal
+length are placed in the rows' order. Sequence ``k`` of span ``s`` has the number
+``s * 2**32 + k``. The order is the one in
 which the table was written (part files by number, rows by their place in them).
 
 Defined results:
@@ -45,8 +46,9 @@ from .tokens import MEMO_PIECES, TEXTS_AT_ONCE, crc32_u32, encoder
 CAPACITY = 2048
 #: pieces of one length that are ranked in one chunk at most
 CHUNK = 8192
-#: spans that are packed on their own at most: each needs a plan
-MOST_SPANS = 64
+#: pieces of a span that one task places at once, about
+PART = 4096
+RUN = ("length", "first", "base", "n", "offset")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, chunk bigint"
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -73,7 +75,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
         for pdf in batches:
             for a in range(0, len(pdf), TEXTS_AT_ONCE):
                 part, rows = pdf.iloc[a : a + TEXTS_AT_ONCE], []
-                doc_ids = [None if pd.isna(d) else int(d) for d in part["doc_id"]]
+                doc_ids = part["doc_id"].tolist()
                 places = list(zip(part["part"], part["row"], strict=True)) if ordered else [()] * len(part)
                 for d, ids, place in zip(doc_ids, enc.encode(part["text"].tolist()), places, strict=True):
                     ids = np.concatenate([ids, end])
@@ -82,13 +84,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPA
                         rows.append((d, k, s, n, crc32_u32(own), chunk + made // CHUNK)
                                     + ((own.astype("<u4").tobytes(),) if keep_ids else ()) + place)
                         made += 1
-                out = pd.DataFrame(rows, columns=columns)
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=columns)
 
-    own = [F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")]
+    # pandas would hold numbers beside nulls as doubles: ids go through it as text
+    own = [F.col(id_col).cast("bigint").cast("string").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")]
     rows = docs.select(*own, *(_order(docs) if ordered else ()))
-    return rows.mapInPandas(tokenise, PIECES + ", ids binary" * keep_ids + ", part string, row bigint" * ordered)
+    out = rows.mapInPandas(tokenise, PIECES.replace("doc_id bigint", "doc_id string") + ", ids binary" * keep_ids + ", part string, row bigint" * ordered)
+    return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _order(docs: DataFrame) -> list[Column]:
@@ -110,13 +112,11 @@ def _order(docs: DataFrame) -> list[Column]:
 def in_spans(pieces: DataFrame, span_rows: int) -> DataFrame:
     """Staged pieces with ``span`` and their row's number ``at`` for ``part`` and ``row``."""
     files = sorted(tuple(r) for r in pieces.groupBy("part").agg(F.max("row") + 1).collect())  # one row per file
-    total = sum(n for _, n in files)
-    span = span_rows * max(1, -(-total // (span_rows * MOST_SPANS)))
     bases = [(part, int(n)) for (part, _), n in zip(files, np.cumsum([0, *[n for _, n in files]]), strict=False)]
     bases = pieces.sparkSession.createDataFrame(bases, "part string, base bigint")
     out = pieces.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("row"))
     # chunks in the rows' order: a span's lengths are ranked over few rows each
-    return out.withColumns({"span": F.floor(F.col("at") / span), "chunk": F.floor(F.col("at") / 1024)}).drop("part", "row", "base")
+    return out.withColumns({"span": F.floor(F.col("at") / span_rows), "chunk": F.floor(F.col("at") / 1024)}).drop("part", "row", "base")
 
 
 def _fill(counts: np.ndarray, capacity: int, small_first: bool, partners: int = 3) -> list[tuple[Pattern, int]]:
@@ -213,22 +213,54 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern
     return min(plans, key=lambda p: sum(n for _, n in p))
 
 
-def _ranges(plans: dict[int, list[tuple[Pattern, int]]], capacity: int) -> dict[str, np.ndarray]:
-    """For each span and length, ``key``, runs of ranks: first rank, first sequence,
+def _ranges(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
+    """For each length, ascending, runs of ranks: first rank, first sequence,
     sequences, offset of the pattern's first piece of this length."""
-    rows, base = [], 0
-    for span, patterns in sorted(plans.items()):
-        used: dict[int, int] = {}
-        for pattern, n in patterns:
-            offset = 0
-            for x, m in pattern:
-                rows.append((span * (capacity + 1) + x, used.get(x, 0), base, n, offset))
-                used[x] = used.get(x, 0) + n * m
-                offset += x * m
-            base += n
+    rows, base, used = [], 0, {}
+    for pattern, n in patterns:
+        offset = 0
+        for x, m in pattern:
+            rows.append((x, used.get(x, 0), base, n, offset))
+            used[x] = used.get(x, 0) + n * m
+            offset += x * m
+        base += n
     rows.sort()
     cols = np.array(rows, dtype=np.int64).reshape(-1, 5).T
-    return dict(zip(("key", "first", "base", "n", "offset"), cols, strict=True))
+    return dict(zip(RUN, cols, strict=True))
+
+
+def _place(pdf: pd.DataFrame, ranges: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of pieces by ``length`` and ``rank``."""
+    keys, starts = np.unique(ranges["length"], return_index=True)
+    ends = np.append(starts[1:], len(ranges["length"]))
+    x, rank = pdf["length"].to_numpy(np.int64), pdf["rank"].to_numpy(np.int64)
+    at = np.empty(len(pdf), dtype=np.int64)
+    own = np.searchsorted(keys, x)
+    for k in np.unique(own):
+        rows = own == k
+        at[rows] = starts[k] + np.searchsorted(ranges["first"][starts[k] : ends[k]], rank[rows], side="right") - 1
+    step = rank - ranges["first"][at]
+    return ranges["base"][at] + step % ranges["n"][at], ranges["offset"][at] + step // ranges["n"][at] * x
+
+
+def _ranked(pieces: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pieces with their ``rank`` among those of equal ``keys``, counted chunk by
+    chunk, and the staged counts of the chunks."""
+    per_chunk = stage(pieces.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("n")), "pack-chunks")
+    before = Window.partitionBy(*keys).orderBy("chunk")
+    first = per_chunk.select(*keys, "chunk", (F.sum("n").over(before) - F.col("n")).alias("first_rank"))
+    order = [c for c in ("at", "doc_id", "piece", "ids_crc32") if c in pieces.columns]
+    within = Window.partitionBy(*keys, "chunk").orderBy(*order)
+    ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(first, [*keys, "chunk"])
+    return ranked.withColumn("rank", F.col("rank") + F.col("first_rank")).drop("first_rank", "chunk"), per_chunk
+
+
+def _texted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -236,40 +268,46 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``span`` and ``at`` if the order counts) with ``sequence_id`` and ``offset``;
     the working columns are dropped."""
     kept = [c for c in pieces.columns if c not in ("chunk", "span", "at")]
-    types = {f.name: f.dataType.simpleString() for f in pieces.schema}
-    if "span" not in pieces.columns:
-        pieces = pieces.withColumns({"span": F.lit(0).cast("bigint"), "at": F.lit(0).cast("bigint")})
-    per_chunk = pieces.groupBy("span", "length", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    per_chunk = stage(per_chunk, "pack-chunks")
-    histogram = per_chunk.groupBy("span", "length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows a span
-    counts: dict[int, dict[int, int]] = {}
-    for r in histogram:
-        counts.setdefault(r["span"], {})[r["length"]] = r["n"]
-    ranges = _ranges({span: plan(own, capacity) for span, own in counts.items()}, capacity)
-    before = Window.partitionBy("span", "length").orderBy("chunk")
-    first = per_chunk.select("span", "length", "chunk", (F.sum("n").over(before) - F.col("n")).alias("first_rank"))
-    within = Window.partitionBy("span", "length", "chunk").orderBy("at", "doc_id", "piece", "ids_crc32")
-    ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(first, ["span", "length", "chunk"])
-    ranked = ranked.withColumn("rank", F.col("rank") + F.col("first_rank")).drop("first_rank", "chunk")
+    types = {f.name: f.dataType.simpleString() for f in pieces.schema} | {"doc_id": "string"}
+    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", sequence_id bigint, offset bigint"
+    if "span" in pieces.columns:
+        return _numbered(_pack_spans(pieces, capacity, kept, schema))
+    ranked, per_chunk = _ranked(pieces, ["length"])
+    histogram = per_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
+    ranges = _ranges(plan({r["length"]: r["n"] for r in histogram}, capacity))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, starts = np.unique(ranges["key"], return_index=True)
-        ends = np.append(starts[1:], len(ranges["key"]))
         for pdf in batches:
-            x, rank = pdf["length"].to_numpy(np.int64), pdf["rank"].to_numpy(np.int64)
-            at = np.empty(len(pdf), dtype=np.int64)
-            own = np.searchsorted(keys, pdf["span"].to_numpy(np.int64) * (capacity + 1) + x)
-            for k in np.unique(own):
-                rows = own == k
-                at[rows] = starts[k] + np.searchsorted(ranges["first"][starts[k] : ends[k]], rank[rows], side="right") - 1
-            step = rank - ranges["first"][at]
-            out = pdf[kept].copy()
-            out["sequence_id"] = ranges["base"][at] + step % ranges["n"][at]
-            out["offset"] = ranges["offset"][at] + step // ranges["n"][at] * x
-            yield out
+            sequence, offset = _place(pdf, ranges)
+            yield pdf[kept].assign(sequence_id=sequence, offset=offset)
 
-    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", sequence_id bigint, offset bigint"
-    return ranked.select(*kept, "span", "rank").mapInPandas(place, schema)
+    return _numbered(_texted(ranked).select(*kept, "rank").mapInPandas(place, schema))
+
+
+def _pack_spans(pieces: DataFrame, capacity: int, kept: list[str], schema: str) -> DataFrame:
+    """Each span by a plan of its own: plans are made in tasks, one span at a time,
+    and meet the span's pieces in parts of about ``PART``."""
+    ranked, per_chunk = _ranked(pieces, ["span", "length"])
+    histogram = per_chunk.groupBy("span", "length").agg(F.sum("n").alias("n"))
+
+    def plan_span(pdf: pd.DataFrame) -> pd.DataFrame:  # at most `capacity` rows
+        ranges = _ranges(plan(dict(zip(pdf["length"].tolist(), pdf["n"].tolist(), strict=True)), capacity))
+        return pd.DataFrame(ranges)[list(RUN)].assign(span=pdf["span"].iloc[0], parts=-(-int(pdf["n"].sum()) // PART))
+
+    runs = stage(histogram.groupBy("span").applyInPandas(plan_span, ", ".join(f"{c} bigint" for c in RUN) + ", span bigint, parts int"), "pack-plans")
+    parts = runs.groupBy("span").agg(F.max("parts").alias("parts"))
+    met = runs.withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    dealt = ranked.join(parts, "span").withColumn("part_", F.pmod(F.xxhash64("length", "rank"), F.col("parts")).cast("int")).drop("parts", "at")
+
+    def place(own: pd.DataFrame, planned: pd.DataFrame) -> pd.DataFrame:
+        if not len(own):
+            return pd.DataFrame(columns=[*kept, "sequence_id", "offset"])
+        planned = planned.sort_values(["length", "first"])
+        sequence, offset = _place(own, {c: planned[c].to_numpy(np.int64) for c in RUN})
+        return own[kept].assign(sequence_id=(own["span"].to_numpy(np.int64) << 32) + sequence, offset=offset)
+
+    key = ["span", "part_"]
+    return _texted(dealt).groupBy(*key).cogroup(met.groupBy(*key)).applyInPandas(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id",
