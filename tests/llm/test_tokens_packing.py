@@ -76,6 +76,13 @@ def test_token_file_of_odd_rows(spark, odd_docs, no_docs):
     assert len(read_back(spark, no_docs)) == 0
 
 
+def test_token_file_keeps_large_ids_beside_nulls(spark, make_docs):
+    rows = [(None, "a"), (2**60 + 1, "b c"), (2**60 + 3, "d"), (-(2**61) - 1, "e")]
+    path = scratch(spark, "test-tokens")
+    token_output.write_tokens(make_docs([(i, t, "en", "a") for i, t in rows]).coalesce(1), path, PATH, 2)
+    assert {r.doc_id for r in token_output.read_tokens(spark, path).collect()} == {i for i, _ in rows}
+
+
 def check_packed(docs, capacity, got):
     expected = []
     for d, t in docs:

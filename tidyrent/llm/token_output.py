@@ -38,7 +38,7 @@ from .tokens import TEXTS_AT_ONCE, crc32_u32, encoder
 BLOCK = ("struct<doc_ids:array<bigint>,sizes:array<bigint>,n:bigint,lanes:int,span:int,words:binary,"
          "at:array<bigint>,states:array<binary>,crc:array<bigint>>")
 SEGMENT = f"shard int, segment int, n_tokens bigint, symbols binary, freqs binary, blocks array<{BLOCK}>"
-READ = "shard int, segment int, block int, place int, doc_id bigint, before bigint, ids binary"
+READ = "shard int, segment int, block int, place int, doc_id string, before bigint, ids binary"
 
 SEGMENT_TOKENS = 1 << 22
 BLOCK_TOKENS = 1 << 20
@@ -85,7 +85,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         for pdf in batches:
             for a in range(0, len(pdf), TEXTS_AT_ONCE):
                 part = pdf.iloc[a : a + TEXTS_AT_ONCE]
-                ids_of = [None if pd.isna(d) else int(d) for d in part["doc_id"]]
+                ids_of = [None if d is None else int(d) for d in part["doc_id"]]
                 for d, ids in zip(ids_of, enc.encode(part["text"].tolist()), strict=True):
                     docs_now.append((d, np.concatenate([ids, end])))
                     size += len(ids) + 1
@@ -98,6 +98,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     rows = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
             .repartitionByRange("doc_id", F.xxhash64("text"))
             .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would hold numbers beside nulls as doubles
     rows.mapInPandas(code, SEGMENT).write.option("compression", "none").parquet(path)
 
 
@@ -117,13 +118,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(sizes)
                 yield pd.DataFrame({
                     "shard": row.shard, "segment": row.segment, "block": row.block, "place": range(len(sizes)),
-                    "doc_id": pd.array(list(row.doc_ids), dtype="Int64"), "before": ends - sizes,
+                    "doc_id": list(row.doc_ids), "before": ends - sizes,
                     "ids": [ids[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)],
                 })
 
     blocks = (spark.read.schema(SEGMENT).parquet(path)
               .select("shard", "segment", "symbols", "freqs", F.posexplode("blocks").alias("block", "b"))
-              .select("shard", "segment", "symbols", "freqs", "block", "b.*"))
+              .select("shard", "segment", "symbols", "freqs", "block", "b.*")
+              .withColumn("doc_ids", F.transform("doc_ids", lambda x: x.cast("string"))))
     docs = blocks.mapInPandas(decode, READ)
     # a block's start: ids of the blocks before it; one row per block, not per document
     sizes = (spark.read.schema(SEGMENT).parquet(path)
@@ -135,7 +137,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         shard_base, "shard")
     bases = small_side(bases, "token-bases")
     return docs.join(bases, ["shard", "segment", "block"]).select(
-        "doc_id", (F.col("shard_base") + F.col("base") + F.col("before")).alias("start"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("shard_base") + F.col("base") + F.col("before")).alias("start"),
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids")
 
 
