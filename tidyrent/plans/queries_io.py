@@ -8,10 +8,11 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..fixtures import listings_raw
 from ..functions import text as T
 from ..operators import enrich as E
 from ..operators.sampling import batch_numbers
-from ..session import read_table
+from ..session import read_table, stage_partitions
 from ..sources import files as S
 from . import format as fmt
 from . import oracle as O
@@ -120,11 +121,17 @@ SELECT row_id,
 FROM L""", upto="L")
 
 
+def _requests(spark, sf_dir):
+    """Listings' texts dealt evenly to all tasks: a provider's time goes by the number
+    of records, while adaptive shuffles go by their bytes, which are few."""
+    return listings_raw(spark, sf_dir).select("row_id", "descripcion").repartition(stage_partitions(spark))
+
+
 @register("map_batches", _BATCHED)
 def q_map_batches(spark, sf_dir):
     """A pandas provider applied to chunks of 20 records per
     partition (Arrow batches), with retries; failed chunks give no rows."""
-    src = raw(spark, sf_dir).select("row_id", "descripcion")
+    src = _requests(spark, sf_dir)
     return E.map_batches(src, _classify_batch, "row_id bigint, propiedad string, propuesta string", batch_size=20)
 
 
@@ -139,7 +146,7 @@ def _refuses_odd_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
 def q_resumed_batches(spark, sf_dir):
     """A provider that fails for some chunks leaves their requests in the
     dead-letter table; a second attempt asks for those only, and both give all."""
-    src = raw(spark, sf_dir).select("row_id", "descripcion")
+    src = _requests(spark, sf_dir)
     letters, schema = S.scratch_dir(spark, "letters"), "row_id bigint, propiedad string, propuesta string"
     first = E.ask(src, _refuses_odd_chunks, schema, retries=0, dead_letters=letters)
     second = E.resume(spark, letters, _classify_batch, schema)
