@@ -271,3 +271,14 @@ def test_language_of_pages(spark, small_dir):
     assert len(pages) == spark.read.parquet(f"{small_dir}/pages.parquet").count() and all(r.doc_id is None for r in pages)
     known = [r for r in pages if r.declared and r.kept]
     assert known and np.mean([r.language == r.declared[:2].lower() for r in known]) > 0.9
+
+
+def test_every_labelled_text_is_fitted(spark, make_docs):
+    word = lambda k: "".join(chr(97 + int(c)) for c in f"{k:05d}")
+    rows = [(k, word(k), "en", "a") for k in range(2500)] + [(9000 + k, word(7), "en", "a") for k in range(30)] + [(5000, "cccc", "de", "a")]
+    langs, model, limits = langid.fit_with_limits(make_docs(rows), "text", F.col("lang"))
+    counts = np.zeros(langid.BUCKETS)
+    for text in {t for _, t, lang, _ in rows if lang == "en"}:
+        counts += np.bincount(langid._codes(text), minlength=langid.BUCKETS)
+    assert langs == ["de", "en"] and np.allclose(model[1], langid._logs(counts), atol=1e-5)
+    assert np.isfinite(limits[1]).all()

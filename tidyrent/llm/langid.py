@@ -13,18 +13,20 @@ For each document the posterior of every language combines
   domain's, that towards its suffix's, that towards all rows' — each a grouped
   aggregation over all rows.
 
-The text model is fitted on at most ``PER_LANGUAGE`` different labelled texts of
-every label (whole texts, those of lowest hash). Labels are codes of two or three
-letters, so there are fewer than 18,300 whatever the rows; a label's model takes
-64 KB of a worker. All other statistics cover all rows. Texts are scored once for
-the counts and once for the decision, so no text is ever shuffled or stored.
+The text model is fitted on all labelled texts, whole, each different one counted
+once: a text that a label has n times counts 1/n each time. Labels are codes of two
+or three letters, so there are fewer than 18,300 whatever the rows; a label's model
+takes 64 KB of a worker. All other statistics cover all rows, too. Texts are read for
+the model, for its limits, for the counts and for the decision; none is stored, and
+none shuffled unless the repeated ones are too many to broadcast their hashes.
 
 A posterior only compares the known languages. Whether a text is in any of them is
 an absolute test: the mean log-likelihood of its trigrams of letters under the
 mixture of all languages, against what the labelled texts of its best language
-have. Theirs is measured on the fitted texts in two halves, each under the other
+have. Theirs is measured on all labelled texts in two halves, each under the other
 half's model; a text may lie ``LIMIT`` deviations below their median, the deviation
-being theirs plus that of a mean of so few trigrams. Texts in several known
+being theirs plus that of a mean of so few trigrams. Their quantiles are exact to
+``1 / GRID`` nats, so that what is kept for them is bounded. Texts in several known
 languages pass, and very short ones, about which their letters say little. Texts
 that fail do not count as their host's language.
 
@@ -51,8 +53,11 @@ from pyspark.sql.window import Window
 from . import tokens
 from .common import small_side, stage
 
-PER_LANGUAGE = 1000
 BUCKETS = 1 << 14
+#: steps a nat of the measured likelihoods
+GRID = 8192.0
+#: labels whose counts a worker holds at once
+HELD = 128
 EVIDENCE = 200.0
 SMOOTHING = 8.0
 MIN_POSTERIOR = 0.6
@@ -86,11 +91,17 @@ def language_code(value: Column) -> Column:
     return F.when(code != "", code)
 
 
-def fit(labelled: DataFrame, text_col: str, label: Column, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
+def fit(labelled: DataFrame, text_col: str, label: Column, per_language: int | None = None) -> tuple[list[str], np.ndarray]:
     """Languages, and the log-probabilities of their trigram buckets."""
     return fit_with_limits(labelled, text_col, label, per_language)[:2]
 
 
+def _counted(totals: dict[tuple[str, int], np.ndarray]) -> Iterator[pd.DataFrame]:
+    for (lang, half), own in totals.items():
+        some = np.flatnonzero(own)
+        yield pd.DataFrame({"lang": lang, "half": half, "bucket": some, "n": own[some]})
+
+
 def _logs(counts: np.ndarray) -> np.ndarray:
     return np.log((counts + 0.5) / (counts + 0.5).sum(axis=-1, keepdims=True))
 
@@ -99,32 +110,31 @@ def _mixture(model: np.ndarray) -> np.ndarray:
     return np.log(np.exp(model).mean(axis=0)).astype(np.float32)
 
 
-def fit_with_limits(labelled: DataFrame, text_col: str, label: Column,
-                    per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit_with_limits(labelled: DataFrame, text_col: str, label: Column, per_language: int | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
     """As ``fit``, and per language the median, the deviation and the deviation of
-    one trigram of its texts' log-likelihoods a trigram of letters."""
+    one trigram of its texts' log-likelihoods a trigram of letters. All texts count,
+    unless a caller wants at most ``per_language`` of each label, those of lowest
+    hash."""
     rows = labelled.select(F.col(text_col).alias("text"), label.alias("lang")).where("lang is not null and text is not null")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    # hashes are uniform: those below this bound are about twice the texts wanted,
-    # however many a language has, so that the ranking sees no more than these
-    share = F.lit(2.0 * per_language) / F.greatest("texts", F.lit(1))
-    below = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * F.lit(2.0**64) - F.lit(2.0**63)).cast("bigint"))
-    bounds = small_side(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts")).select("lang", below.alias("below")), "lid-labels")
-    low = rows.join(bounds, "lang").where(F.col("h") <= F.col("below")).groupBy("lang", "h").agg(F.min("text").alias("text"))
-    picked = low.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= per_language)
-
-    picked = stage(picked.select("text", "lang", F.pmod("h", F.lit(2)).cast("int").alias("half")), "lid-fitted")
+    if per_language is not None:
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+        rows = rows.join(rows.select("lang", "h").distinct().withColumn("k", rank).where(F.col("k") <= per_language).drop("k"), ["lang", "h"])
+    often = rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1)
+    halves = rows.join(small_side(often, "lid-repeated"), ["lang", "h"], "left").select(
+        "text", "lang", F.pmod("h", F.lit(2)).cast("int").alias("half"), (F.lit(1.0) / F.coalesce("times", F.lit(1))).alias("weight"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens.release()
         totals: dict[tuple[str, int], np.ndarray] = {}
         for pdf in batches:
-            for text, lang, half in zip(pdf["text"], pdf["lang"], pdf["half"], strict=True):
-                own = totals.setdefault((lang, half), np.zeros(BUCKETS, dtype=np.int64))
-                own += np.bincount(_codes(text), minlength=BUCKETS)
-        for (lang, half), own in totals.items():
-            some = np.flatnonzero(own)
-            yield pd.DataFrame({"lang": lang, "half": half, "bucket": some, "n": own[some]})
+            for text, lang, half, weight in zip(pdf["text"], pdf["lang"], pdf["half"], pdf["weight"], strict=True):
+                if (lang, half) not in totals and len(totals) >= HELD:
+                    yield from _counted(totals)
+                    totals.clear()
+                own = totals.setdefault((lang, half), np.zeros(BUCKETS))
+                own += np.bincount(_codes(text), minlength=BUCKETS) * weight
+        yield from _counted(totals)
 
     def weigh(pdf: pd.DataFrame) -> pd.DataFrame:
         halves = np.zeros((2, BUCKETS))
@@ -132,8 +142,9 @@ def fit_with_limits(labelled: DataFrame, text_col: str, label: Column,
         return pd.DataFrame([{"lang": pdf["lang"].iloc[0], "model": _logs(halves.sum(axis=0)).astype("<f4").tobytes(),
                               "halves": np.exp(_logs(halves)).astype("<f4").tobytes()}])
 
-    counted = picked.mapInPandas(count, "lang string, half int, bucket int, n bigint")
-    counted = counted.groupBy("lang", "half", "bucket").agg(F.sum("n").alias("n"))
+    counted = halves.mapInPandas(count, "lang string, half int, bucket int, n double")
+    # every text counts once, so the sums are whole numbers but for rounding
+    counted = counted.groupBy("lang", "half", "bucket").agg(F.round(F.sum("n")).cast("bigint").alias("n"))
     models = stage(counted.groupBy("lang").applyInPandas(weigh, "lang string, model binary, halves binary"), "lid-models")
     found, sums = {}, np.zeros((2, BUCKETS))
     for r in models.toLocalIterator():  # one row per label
@@ -149,13 +160,15 @@ def fit_with_limits(labelled: DataFrame, text_col: str, label: Column,
         tokens.release()
         for pdf in batches:
             out = []
-            for text, lang, half in zip(pdf["text"], pdf["lang"], pdf["half"], strict=True):
-                own = others[half][_codes(text)[_of_letters(text)]]
+            for text, lang, h in zip(pdf["text"], pdf["lang"], pdf["h"], strict=True):
+                own = others[h % 2][_codes(text)[_of_letters(text)]]
                 if len(own):
-                    out.append((lang, float(own.mean(dtype=np.float64)), float(own.std(dtype=np.float64))))
-            yield pd.DataFrame(out, columns=["lang", "mean", "sd"])
+                    out.append((lang, h, round(float(own.mean(dtype=np.float64)) * GRID) / GRID, round(float(own.std(dtype=np.float64)) * GRID) / GRID))
+            yield pd.DataFrame(out, columns=["lang", "h", "mean", "sd"])
 
-    measured = (picked.mapInPandas(measure, "lang string, mean double, sd double").groupBy("lang")
+    measured = rows.mapInPandas(measure, "lang string, h bigint, mean double, sd double").groupBy("lang", "h").agg(
+        F.min("mean").alias("mean"), F.min("sd").alias("sd"))
+    measured = (measured.groupBy("lang")
              .agg(F.percentile("mean", F.array(F.lit(0.05), F.lit(0.5))).alias("q"), F.percentile("sd", F.lit(0.5)).alias("sd")).collect())
     limits = np.array([[-np.inf, LEAST_DEVIATION, 0.0]] * len(langs))  # no letters to measure: no limit
     for r in measured:
@@ -239,11 +252,11 @@ def likelihoods(votes: DataFrame, column: str, langs: list[str], strength: float
 
 
 def identify(docs: DataFrame, text_col: str, declared: Column, address: Column, host: Column,
-             min_posterior: float = MIN_POSTERIOR, per_language: int = PER_LANGUAGE) -> DataFrame:
+             min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """``docs`` with ``__lid_lang``, ``__lid_posterior`` and ``__lid_kept``.
     ``declared`` and ``address``: language tags; ``host``: dotted host or source
     name."""
-    langs, model, limits = fit_with_limits(docs, text_col, language_code(declared), per_language)
+    langs, model, limits = fit_with_limits(docs, text_col, language_code(declared))
     given = docs.withColumns({"__lid_declared": language_code(declared), "__lid_address": language_code(address), "__lid_host_name": host.cast("string")})
     if not langs:
         return given.drop("__lid_declared", "__lid_address", "__lid_host_name").withColumns(
