@@ -187,3 +187,26 @@ def test_connected_components_long_chain(spark):
     assert {got[j] for j in range(5, 30)} == {5}
     assert got[100] == got[99] == 99
     assert len(got) == 400 + 25 + 2
+
+
+def test_few_references_meet_every_query(spark, monkeypatch):
+    """As many references as 27 cells may hold are compared in one pass, with the same result."""
+    rows = spark.createDataFrame([(i, -12.0 - (i * 37 % 101) / 50, -77.0 + (i * 53 % 97) / 50) for i in range(200)] + [(200, None, 1.0), (0, -12.0, -77.0)],
+                                 "row_id long, latitud double, longitud double")
+    refs = spark.createDataFrame([("b", -12.5, -76.5), ("a", -12.5, -76.5), ("c", -13.5, -75.5), ("d", None, 1.0), ("e", 40.0, 2.0)],
+                                 "distrito string, latitud double, longitud double")
+    few = sorted(map(tuple, SP.nearest_reference(rows, refs, "distrito").collect()))
+    assert len(few) == rows.dropna().select("latitud", "longitud").distinct().count() and {r[2] for r in few} == {"a", "c"}
+    assert SP.nearest_reference(rows, refs.where("false"), "distrito").count() == 0
+    monkeypatch.setattr(SP, "_knn_candidates", lambda *a: pytest.fail("searched round by round"))
+    assert sorted(map(tuple, SP.nearest_reference(rows, refs, "distrito").collect())) == few
+    monkeypatch.undo()
+    monkeypatch.setattr(SP, "DIRECT_PER_K", 1)
+    assert sorted(map(tuple, SP.nearest_reference(rows, refs, "distrito").collect())) == few
+
+
+def test_release_trims_the_driver(spark):
+    from tidyrent.session import release, trim_native
+    frame = spark.range(10)
+    release(spark)
+    assert frame.count() == 10 and "Trim" in trim_native(spark)
