@@ -120,7 +120,7 @@ FROM T JOIN B ON T.latitud = B.latitud AND T.longitud = B.longitud JOIN G ON G.d
 @register("reverse_lookup", _REVERSE_SQL)
 def q_reverse_lookup(spark, sf_dir):
     """E4 default provider: nearest gazetteer entry of each listing with
-    coordinates (grid nearest-neighbour, no cross join), J1 back on id."""
+    coordinates (grid nearest-neighbour; a few references meet all), J1 back on id."""
     t = typed_stage(spark, sf_dir)
     gaz = E.district_gazetteer(t)
     near = SP.nearest_reference(t, gaz, "distrito")
